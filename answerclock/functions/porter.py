@@ -43,16 +43,32 @@ STEP_4 = (
 ).split()
 
 
+class _Kinds(dict):
+    """Maps a character code to ``v``, ``c`` or ``y`` for ``str.translate``."""
+
+    def __missing__(self, code: int) -> str:
+        return "c"
+
+
+_KINDS = _Kinds({ord(vowel): "v" for vowel in "aeiou"} | {ord("y"): "y"})
+
+
 def _longest(word: str, suffixes) -> str | None:
-    return max((s for s in suffixes if word.endswith(s)), key=len, default=None)
+    if not word.endswith(tuple(suffixes)):
+        return None
+    return max((s for s in suffixes if word.endswith(s)), key=len)
 
 
 def _shape(word: str) -> str:
-    """One letter per character: ``v`` for a vowel, ``c`` for a consonant."""
-    shape = ""
-    for letter in word:
-        vowel = letter in "aeiou" or (letter == "y" and shape.endswith("c"))
-        shape += "v" if vowel else "c"
+    """One letter per character: ``v`` for a vowel, ``c`` for a consonant.
+
+    A ``y`` is a vowel after a consonant and a consonant elsewhere.
+    """
+    shape = word.translate(_KINDS)
+    while "y" in shape:
+        place = shape.index("y")
+        kind = "v" if shape[:place].endswith("c") else "c"
+        shape = shape[:place] + kind + shape[place + 1 :]
     return shape
 
 

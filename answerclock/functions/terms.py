@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def sorted_tokens(tokens) -> Column:
-    return F.array_sort(F.col(tokens) if isinstance(tokens, str) else tokens)
+    return F.sort_array(F.col(tokens) if isinstance(tokens, str) else tokens)
 
 
 def run_starts(words: str) -> Column:

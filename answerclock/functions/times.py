@@ -20,8 +20,9 @@ def year_start(year: int) -> Column:
 
 
 def epoch_seconds(ts) -> Column:
-    """Whole seconds since 1970, the same in every session time zone."""
-    return F.timestamp_diff("SECOND", timestamp("1970-01-01 00:00:00"), _ntz(ts))
+    """Whole seconds since 1970 of the written time, whatever the session time zone."""
+    since_epoch = _ntz(ts) - timestamp("1970-01-01 00:00:00")
+    return since_epoch.cast("interval second").cast("long")
 
 
 def seconds_between(start, end) -> Column:

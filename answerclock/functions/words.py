@@ -6,18 +6,23 @@ text never has to be put together again from its words.
 
 from __future__ import annotations
 
-from functools import lru_cache
+import sys
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from answerclock.functions.porter import stem
+from answerclock.functions import porter
 
-# What separates tokens, and what ends a sentence.
-NOT_A_WORD = r"[^\p{L}\p{N}]+"
+# The stemmer travels to the executors by value: the package need not be there.
+cloudpickle.register_pickle_by_value(porter)
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+# What a token is, and what ends a sentence.
+WORD = r"[\p{L}\p{N}]+"
 SENTENCE_BREAK = r"(?<=[.!?])[ \t\r\n\f]+"
 
 # The English stop words of Spark's StopWordsRemover.
@@ -46,38 +51,34 @@ def sentence_array(text) -> Column:
 
 def token_array(text) -> Column:
     """Lower-case runs of letters and digits, in text order."""
-    return F.filter(F.split(F.lower(_col(text)), NOT_A_WORD, -1), lambda word: word != "")
-
+    return F.regexp_extract_all(F.lower(_col(text)), F.lit(WORD), F.lit(0))
 
-def without_stop_words(tokens, words=ENGLISH_STOP_WORDS) -> Column:
-    """Tokens that are not in ``words``, whatever the case of either."""
-    lowered = sorted({word.lower() for word in words})
-    return F.filter(_col(tokens), lambda word: ~F.lower(word).isin(lowered))
 
+def without_stop_words(tokens, words=ENGLISH_STOP_WORDS, lower_case: bool = False) -> Column:
+    """Tokens that are not in ``words``, whatever the case of either.
 
-_stem_once = lru_cache(maxsize=1 << 16)(stem)
+    Say ``lower_case`` when the tokens are known to be lower-case already.
+    """
+    lowered = sorted({word.lower() for word in words})
+    compared = (lambda word: word) if lower_case else F.lower
+    return F.filter(_col(tokens), lambda word: ~compared(word).isin(lowered))
 
 
 def _stem_values(words: pa.Array) -> pa.Array:
     coded = words.dictionary_encode()
-    stems = [None if word is None else _stem_once(word) for word in coded.dictionary.to_pylist()]
+    stems = [None if w is None else porter.stem(w) for w in coded.dictionary.to_pylist()]
     return pa.array(stems, pa.string()).take(coded.indices)
 
 
-def _stem_words(words: pa.Array) -> pa.Array:
-    return _stem_values(words)
-
-
 def _stem_lists(lists: pa.Array) -> pa.Array:
     lengths = pc.fill_null(pc.list_value_length(lists), 0)
     ends = pc.cumulative_sum(lengths.cast(pa.int32()))
     offsets = pa.concat_arrays([pa.array([0], pa.int32()), ends])
-    values = _stem_values(lists.flatten())
-    return pa.ListArray.from_arrays(offsets, values, mask=lists.is_null())
+    return pa.ListArray.from_arrays(offsets, _stem_values(lists.flatten()), mask=lists.is_null())
 
 
 def stem_word(word) -> Column:
-    return F.arrow_udf(_stem_words, T.StringType())(_col(word))
+    return F.arrow_udf(_stem_values, T.StringType())(_col(word))
 
 
 def stem_array(tokens) -> Column:

@@ -64,27 +64,28 @@ def histogram(
 ) -> DataFrame:
     """Counts in ``bins`` equal-width bins from minimum to maximum, the last one closed.
 
-    Equal values are counted first; the bounds and the bins both come from those
-    counts. A constant column gets a range of one around it. Empty bins show 0.
+    Two passes, bounds and then bins, each combined inside its tasks: at most
+    ``bins`` rows per task are shuffled. The bounds come from a scalar subquery
+    that shares the exchanges of the main plan. A constant column gets a range of
+    one around it. Empty bins show 0.
     """
     value = F.col(col).cast("double")
     kept = df.select(value.alias("value")).filter(F.col("value").isNotNull() & ~F.isnan("value"))
     if maximum is not None:
         kept = kept.filter(F.col("value") <= maximum)
-    counts = kept.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
     low, high = F.min("value"), F.max("value")
     pad = F.when(low == high, 0.5).otherwise(0.0)
-    bounds = counts.agg(F.struct((low - pad).alias("low"), (high + pad).alias("high"))).scalar()
+    bounds = kept.agg(F.struct((low - pad).alias("low"), (high + pad).alias("high"))).scalar()
     low, high = bounds.getField("low"), bounds.getField("high")
     place = F.floor((F.col("value") - low) / (high - low) * F.lit(bins)).cast("int")
     filled = (
-        counts.withColumn("bin", F.least(place, F.lit(bins - 1)))
+        kept.select(F.least(place, F.lit(bins - 1)).alias("bin"))
         .groupBy("bin")
-        .agg(F.sum("n").alias("n"))
+        .agg(F.count(F.lit(1)).alias("n"))
     )
     every_bin = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     width = (high - low) / F.lit(bins)
-    return every_bin.join(filled, "bin", "left").select(
+    return every_bin.join(F.broadcast(filled), "bin", "left").select(
         "bin",
         (low + F.col("bin") * width).alias("bin_start"),
         (low + (F.col("bin") + 1) * width).alias("bin_end"),

@@ -55,7 +55,7 @@ def token_arrays(
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """(key, ``keep``..., tokens): cleaned tokens of each document in text order, no shuffle."""
-    cleaned = words.without_stop_words(words.token_array(text), stop_words)
+    cleaned = words.without_stop_words(words.token_array(text), stop_words, lower_case=True)
     tokens_col = words.stem_array(cleaned) if stemmed else cleaned
     return df.select(key, *keep, tokens_col.alias("tokens"))
 

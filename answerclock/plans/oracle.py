@@ -11,8 +11,8 @@ from answerclock.functions.porter import PLURALS, STEP_2, STEP_3, STEP_4
 POSTS = """
 lines AS (
   SELECT l_orderkey, l_linenumber, l_shipdate,
-         ('0x' || substr(md5(concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber)),
-                         1, 15))::BIGINT AS answer_id
+         4000000000000000000 + l_orderkey * 4194304
+           + (l_partkey * 1009 + l_suppkey * 31 + l_linenumber) % 4194304 AS answer_id
   FROM lineitem),
 replies AS (
   SELECT l_orderkey, min(answer_id) AS accepted, max(l_shipdate) AS last_reply, count(*) AS n

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from answerclock.functions import text
 from answerclock.functions.times import is_weekend
 from answerclock.operators import merge, ml, response, tags, textfeat, texts
 from answerclock.operators import posts as post_ops
-from answerclock.plans.stand_in import post_texts, posts, table
+from answerclock.plans.stand_in import post_texts, posts, table, text_table
 from answerclock.schemas import FEATURES, TAG_FEATURES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,7 +77,7 @@ def _all_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    return text_table(spark, sf_dir, "documents", "doc_id", "text")
 
 
 def _labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -215,7 +216,7 @@ def text_features(spark, sf_dir):
 
 def page_markers(spark, sf_dir):
     """The marker, span and title expressions over every page, paired to a post or not."""
-    return table(spark, sf_dir, "pages").select(
+    return text_table(spark, sf_dir, "pages", "page_id", "url", "html").select(
         "page_id",
         text.count_marker("html", SCRIPT[0]).alias("scripts"),
         text.span_length("html", *SCRIPT).alias("script_len"),
@@ -231,12 +232,12 @@ def weekend_events(spark, sf_dir):
 
 
 def strip_html(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", text.strip_html("html").alias("plain"))
+    return text_table(spark, sf_dir, "pages", "page_id", "html").select("page_id", text.strip_html("html").alias("plain"))
 
 
 def strip_code(spark, sf_dir):
     without = F.regexp_replace("html", "<(/?)script", "<$1code")
-    return table(spark, sf_dir, "pages").select(
+    return text_table(spark, sf_dir, "pages", "page_id", "html").select(
         "page_id", text.strip_newlines(text.strip_code(without)).alias("plain")
     )
 
@@ -284,7 +285,9 @@ def tfidf(spark, sf_dir):
 def count_vectors(spark, sf_dir):
     """The vectors, read back as (document, term, count) through the fitted vocabulary."""
     vectors, model = texts.count_vectors(_clean_documents(spark, sf_dir))
-    names = spark.createDataFrame(list(enumerate(model.vocabulary)), "place int, term string")
+    terms = pa.array(model.vocabulary, pa.string())
+    places = pa.array(range(len(terms)), pa.int32())
+    names = spark.createDataFrame(pa.table({"place": places, "term": terms}))
     parts = F.unwrap_udt("features")
     cells = F.explode(F.arrays_zip(parts["indices"].alias("place"), parts["values"].alias("n")))
     rows = vectors.select("doc_id", cells.alias("cell")).select("doc_id", "cell.*")

@@ -13,13 +13,22 @@ from answerclock.schemas import POST_COLUMNS, RAW_POSTS, VECTORS
 ROW_TAG = "row"  # fixed value: the element of one post in the XML dump
 
 
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Deal out rows that arrive in fewer partitions than there are cores.
+
+    A gzip file cannot be split and a small file has one row group, so one task
+    would do all the work on it. Inputs with enough partitions stay as they are.
+    """
+    wanted = partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
+
+
 def read_posts(
-    spark: SparkSession, path: str | Sequence[str], fmt: str = "json", partitions: int | None = None
+    spark: SparkSession, path: str | Sequence[str], fmt: str = "json"
 ) -> DataFrame:
-    """Posts from ``json``, ``xml``, ``csv`` (with header) or ``parquet``, columns as ``schemas.POSTS``.
+    """Posts from ``json``, ``xml``, ``csv`` (header) or ``parquet``; columns as ``schemas.POSTS``.
 
-    A gzip file cannot be split and arrives as one partition: give ``partitions``
-    to spread its rows before anything else, or convert it once to Parquet.
+    For repeated use of a gzip dump, write it once as Parquet (``write_posts``).
     """
     reader = spark.read.schema(RAW_POSTS).format(fmt)
     if fmt == "xml":
@@ -27,8 +36,7 @@ def read_posts(
     if fmt == "csv":
         reader = reader.option("header", True).option("multiLine", True).option("escape", '"')
     raw = reader.load(path if isinstance(path, str) else list(path))
-    posts = raw.select([F.col(name).alias(new) for name, (new, _) in POST_COLUMNS.items()])
-    return posts if partitions is None else posts.repartition(partitions)
+    return spread(raw.select([F.col(name).alias(new) for name, (new, _) in POST_COLUMNS.items()]))
 
 
 def read_features(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
