@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, NaiveBayes, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,8 +70,23 @@ def fit(
     seed: int = SEED,
 ) -> PipelineModel:
     """Train on ``df``. With ``cols=None`` the frame already has a ``features`` vector."""
-    stages = [classifier(kind, seed)] if cols is None else [assembler(cols), classifier(kind, seed)]
-    return Pipeline(stages=stages).fit(df)
+    before = [] if cols is None else [assembler(cols)]
+    model = classifier(kind, seed)
+    if kind != "nb":
+        return Pipeline(stages=[*before, model]).fit(df)
+    # Naive Bayes predicts the place of a label among those it saw, which is the
+    # label itself only when every label from 0 up is there. Translate both ways.
+    label = F.col("label").cast("double")
+    seen = [row[0] for row in df.select(label.alias("label")).distinct().sort("label").collect()]
+    place = F.array_position(F.array(*[F.lit(value) for value in seen]), label) - 1
+    model = model.setLabelCol("label_place").setPredictionCol("label_place_predicted")
+    fitted = Pipeline(stages=[*before, model]).fit(df.withColumn("label_place", place))
+    labels = ", ".join(f"{value}D" for value in seen)
+    translate = SQLTransformer(
+        statement=f"SELECT *, element_at(array({labels}), 1 + CAST(label_place_predicted AS INT)) "
+        "AS prediction FROM __THIS__"
+    )
+    return PipelineModel([*fitted.stages, translate])
 
 
 def evaluate(predictions: DataFrame, label: str = "label") -> DataFrame:
