@@ -1,21 +1,18 @@
 """Joins with a table that is usually small but has no fixed size.
 
 The table is checkpointed once, its size is measured, and only then is the
-join chosen: a broadcast under the limit, a salted shuffle join above it.
+join chosen: a broadcast under the limit, a split by hot keys above it.
 """
 
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_LIMIT = 64 * 1024 * 1024
-SALTS = 32
-_SALT = "__salt"
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -41,34 +38,40 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(folder)
 
 
-def table_bytes(df: DataFrame) -> int:
-    """Bytes of the values of ``df``: text by its length, everything else 8 per column."""
-    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+def table_size(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of ``df``: text by its length, everything else 8 per column."""
     row = F.lit(8 * len(df.columns))
-    for name in texts:
-        row = row + F.coalesce(F.octet_length(F.col(name)), F.lit(0))
-    return df.agg(F.coalesce(F.sum(row.cast("long")), F.lit(0))).first()[0]
+    for field in df.schema.fields:
+        if isinstance(field.dataType, T.StringType):
+            row = row + F.coalesce(F.octet_length(F.col(field.name)), F.lit(0))
+    measured = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(row.cast("long")), F.lit(0))).first()
+    return measured[0], measured[1]
 
 
 def join_lookup(
     rows: DataFrame,
     lookup: DataFrame,
     key: str,
+    frequency: str,
     how: str = "inner",
-    spread_by: Sequence[str] = (),
     broadcast_limit: int = BROADCAST_LIMIT,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Join ``rows`` with ``lookup`` (one row per ``key``), whatever the size or skew.
 
-    Above ``broadcast_limit`` the rows of one key are spread over ``salts``
-    tasks by a hash of ``spread_by``, and ``lookup`` is repeated for each salt.
+    ``frequency`` is a column of ``lookup`` that grows with the number of rows of
+    its key. Up to ``broadcast_limit`` bytes the whole table is broadcast. A larger
+    one is split: as many of its most frequent keys as fit the limit are broadcast,
+    which takes the hot keys and most rows out of the shuffle, and the other keys
+    meet their rows in a shuffle join. ``how`` is ``inner``, ``left`` or ``left_semi``.
     """
     lookup = checkpointed(lookup)
-    if table_bytes(lookup) <= broadcast_limit:
+    count, size = table_size(lookup)
+    if size <= broadcast_limit:
         return rows.join(F.broadcast(lookup), key, how)
-    spread = [F.col(name) for name in (spread_by or rows.columns)]
-    salted_rows = rows.withColumn(_SALT, F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    salted_lookup = lookup.withColumn(_SALT, every_salt)
-    return salted_rows.join(salted_lookup, [key, _SALT], how).drop(_SALT)
+    fitting = max(1, count * broadcast_limit // size)
+    hot = checkpointed(lookup.orderBy(F.col(frequency).desc(), F.col(key)).limit(fitting))
+    hot_keys = F.broadcast(hot.select(key))
+    hot_joined = rows.join(F.broadcast(hot), key, "inner" if how == "left" else how)
+    cold_rows = rows.join(hot_keys, key, "left_anti")
+    cold_lookup = lookup.join(hot_keys, key, "left_anti")
+    return hot_joined.unionByName(cold_rows.join(cold_lookup, key, how))

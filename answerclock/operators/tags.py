@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from answerclock.functions.tags import response_count, tag_array
 from answerclock.functions.times import seconds_between, year_start
-from answerclock.operators.lookups import BROADCAST_LIMIT, SALTS, join_lookup
+from answerclock.operators.lookups import BROADCAST_LIMIT, join_lookup
 from answerclock.operators.posts import between_years, since_year, split_posts
 from answerclock.schemas import TAG_FEATURES
 
@@ -165,13 +165,10 @@ def post_tag_features(
     posts: DataFrame,
     tag_table: DataFrame,
     broadcast_limit: int = BROADCAST_LIMIT,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Per post: mean of each tag feature over the tags of the post found in ``tag_table``."""
     tagged = explode_tags(posts.select("id", "tags"))
-    joined = join_lookup(
-        tagged, tag_table, "tag", spread_by=["id"], broadcast_limit=broadcast_limit, salts=salts
-    )
+    joined = join_lookup(tagged, tag_table, "tag", "TCF", broadcast_limit=broadcast_limit)
     return joined.groupBy("id").agg(*[F.avg(c).alias(c) for c in TAG_FEATURES])
 
 

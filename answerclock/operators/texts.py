@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from answerclock.functions import terms, words
 from answerclock.functions.text import strip_html
-from answerclock.operators.lookups import BROADCAST_LIMIT, SALTS, join_lookup
+from answerclock.operators.lookups import BROADCAST_LIMIT, join_lookup
 
 # Least number of documents that hold a term.
 COUNT_MIN_DF = 2
@@ -83,7 +83,6 @@ def tfidf(
     tokens_col: str = "tokens",
     min_df: int = IDF_MIN_DF,
     broadcast_limit: int = BROADCAST_LIMIT,
-    salts: int = SALTS,
 ) -> DataFrame:
     """(key, term, n, doc_freq, weight) with weight = n * ln((docs + 1) / (doc_freq + 1)).
 
@@ -91,9 +90,7 @@ def tfidf(
     """
     counts = term_counts(docs, key, tokens_col)
     frequencies = vocabulary(counts, min_df=1).select("term", "doc_freq")
-    rows = join_lookup(
-        counts, frequencies, "term", spread_by=[key], broadcast_limit=broadcast_limit, salts=salts
-    )
+    rows = join_lookup(counts, frequencies, "term", "doc_freq", broadcast_limit=broadcast_limit)
     total = docs.agg(F.count(F.lit(1))).scalar()
     weight = F.col("n") * F.log((total + 1) / (F.col("doc_freq") + 1))
     return rows.select(

@@ -17,38 +17,44 @@ def hot_rows(spark):
 
 @pytest.fixture
 def lookup(spark):
+    """Keys with their number of rows; one key has none, ten keys of the rows are missing."""
     return spark.createDataFrame(
-        [("hot", 1.0), ("none", 2.0)] + [(f"k{i}", float(i)) for i in range(40)],
-        "key string, value double",
+        [("hot", 3000), ("none", 0)] + [(f"k{i}", 120) for i in range(40)], "key string, n long"
     )
 
 
 @pytest.mark.parametrize("how", ["inner", "left_semi", "left"])
-def test_both_ways_give_the_same_rows(hot_rows, lookup, how):
-    plain = rows(hot_rows.join(lookup, "key", how))
-    small = lookups.join_lookup(hot_rows, lookup, "key", how)
-    large = lookups.join_lookup(hot_rows, lookup, "key", how, spread_by=["id"], broadcast_limit=0)
-    assert rows(small) == plain and rows(large) == plain
-    assert small.columns == large.columns
-    assert "BroadcastHashJoin" in plan_of(small)
+@pytest.mark.parametrize("limit", [0, 200, 10**6])
+def test_every_way_gives_the_same_rows(hot_rows, lookup, how, limit):
+    plain = hot_rows.join(lookup, "key", how)
+    joined = lookups.join_lookup(hot_rows, lookup, "key", "n", how, broadcast_limit=limit)
+    assert joined.columns == plain.columns
+    assert rows(joined) == rows(plain)
 
 
-def test_a_hot_key_is_spread_over_the_salts(spark, settings, hot_rows, lookup):
+def test_a_small_table_is_broadcast_whole(hot_rows, lookup):
+    plan = plan_of(lookups.join_lookup(hot_rows, lookup, "key", "n"))
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Union" not in plan
+
+
+def test_the_hot_key_stays_out_of_the_shuffle(spark, settings, hot_rows, lookup):
+    """With room for one key only, the hot one is broadcast and the rest is shuffled."""
     settings(
         spark__sql__autoBroadcastJoinThreshold="-1",
-        spark__sql__adaptive__coalescePartitions__enabled="false",
-    )
-    joined = lookups.join_lookup(hot_rows, lookup, "key", spread_by=["id"], broadcast_limit=0, salts=16)
-    per_task = (
-        joined.filter("key = 'hot'").groupBy(F.spark_partition_id().alias("task")).count().collect()
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
     )
-    assert max(r["count"] for r in per_task) < 0.6 * sum(r["count"] for r in per_task)
+    joined = lookups.join_lookup(hot_rows, lookup, "key", "n", broadcast_limit=0)
+    plan = plan_of(joined)
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" in plan
+    tasks = joined.select(F.spark_partition_id().alias("task"), "key").distinct()
+    shuffled = {r.task for r in tasks.filter("key <> 'hot'").collect()}
+    broadcast = {r.task for r in tasks.filter("key = 'hot'").collect()}
+    assert len(broadcast) == 6 and not shuffled & broadcast
 
 
-def test_table_bytes(spark, lookup):
-    expected = sum(16 + len(r.key) for r in lookup.collect())
-    assert lookups.table_bytes(lookup) == expected
-    assert lookups.table_bytes(lookup.limit(0)) == 0
+def test_table_size(lookup):
+    assert lookups.table_size(lookup) == (42, sum(16 + len(r.key) for r in lookup.collect()))
+    assert lookups.table_size(lookup.limit(0)) == (0, 0)
 
 
 def test_checkpoints_go_to_the_folder_of_the_session(spark, lookup):

@@ -131,7 +131,7 @@ def tag_table(spark):
 
 @pytest.mark.parametrize("limit", [10**9, 0])
 def test_post_tag_features(few, tag_table, limit):
-    got = rows(tags.post_tag_features(few, tag_table, broadcast_limit=limit, salts=3))
+    got = rows(tags.post_tag_features(few, tag_table, broadcast_limit=limit))
     assert got == [
         (1, *[i + 1.0 for i in range(7)]),
         (2, *[float(i) for i in range(7)]),
