@@ -245,6 +245,26 @@ _FEATURE_LIST = ", ".join(
     for c in ["PR", "ASR", "TCF", "VCF", "ACF", "latf_h", "RSR", *_TEXT_COLUMNS.split(", ")]
 )
 _SHARE = "(('0x' || substr(md5('100:' || id), 1, 8))::BIGINT / 4294967296.0::DOUBLE)"
+_BAYES = f"""
+cells AS (
+  SELECT id, label, is_train, generate_subscripts(f, 1) AS place, unnest(f) AS value
+  FROM (SELECT id, label, {_SHARE} < 0.8 AS is_train, [{_FEATURE_LIST}] AS f FROM all_features)),
+prior AS (
+  SELECT label AS class, ln(count(DISTINCT id) + 1.0::DOUBLE)
+         - ln((SELECT count(DISTINCT id) + count(DISTINCT label) FROM cells WHERE is_train)
+              ::DOUBLE) AS pi
+  FROM cells WHERE is_train GROUP BY label),
+theta AS (
+  SELECT label AS class, place, ln(sum(value) + 1) - ln(sum(sum(value)) OVER (PARTITION BY label)
+         + 15) AS theta
+  FROM cells WHERE is_train GROUP BY label, place),
+scores AS (
+  SELECT id, label, class, pi + sum(value * theta) AS score
+  FROM cells JOIN theta USING (place) JOIN prior USING (class)
+  WHERE NOT is_train GROUP BY id, label, class, pi),
+predictions AS (
+  SELECT id, label, CAST(arg_max(class, score) AS DOUBLE) AS prediction
+  FROM scores GROUP BY id, label)"""
 _HISTOGRAM = """
 bounds AS (
   SELECT min(value) - CASE WHEN min(value) = max(value) THEN 0.5::DOUBLE ELSE 0 END AS low,
@@ -461,26 +481,16 @@ cells AS (
                       round(value, CASE WHEN place < 2 THEN 15 ELSE 6 END) AS value FROM cells""",
         ),
         "predict_nb": _with(
+            *_FEATURE_PARTS, _BAYES, select="SELECT id, label, prediction FROM predictions"
+        ),
+        "train_and_score_nb": _with(
             *_FEATURE_PARTS,
-            f"""
-cells AS (
-  SELECT id, label, is_train, generate_subscripts(f, 1) AS place, unnest(f) AS value
-  FROM (SELECT id, label, {_SHARE} < 0.8 AS is_train, [{_FEATURE_LIST}] AS f FROM all_features)),
-prior AS (
-  SELECT label AS class, ln(count(DISTINCT id) + 1.0::DOUBLE)
-         - ln((SELECT count(DISTINCT id) + count(DISTINCT label) FROM cells WHERE is_train)
-              ::DOUBLE) AS pi
-  FROM cells WHERE is_train GROUP BY label),
-theta AS (
-  SELECT label AS class, place, ln(sum(value) + 1) - ln(sum(sum(value)) OVER (PARTITION BY label)
-         + 15) AS theta
-  FROM cells WHERE is_train GROUP BY label, place),
-scores AS (
-  SELECT id, label, class, pi + sum(value * theta) AS score
-  FROM cells JOIN theta USING (place) JOIN prior USING (class)
-  WHERE NOT is_train GROUP BY id, label, class, pi)""",
-            select="""SELECT id, label, CAST(arg_max(class, score) AS DOUBLE) AS prediction
-                      FROM scores GROUP BY id, label""",
+            _BAYES,
+            select="""SELECT count(*) AS scored,
+                      CAST(count(*) FILTER (prediction = label) AS BIGINT) AS right,
+                      CASE WHEN count(*) > 0 THEN
+                        count(*) FILTER (prediction = label) / count(*)::DOUBLE END AS accuracy,
+                      'nb' AS model FROM predictions""",
         ),
         "accuracy": _with(
             POSTS,

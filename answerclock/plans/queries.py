@@ -52,9 +52,9 @@ def _labels(spark: SparkSession, sf_dir: str, carry=()) -> DataFrame:
     return response.response_labels(_times(spark, sf_dir, carry), FAST_HOURS)
 
 
-def _tag_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _tag_table(source: DataFrame) -> DataFrame:
     return tags.tag_features(
-        posts(spark, sf_dir),
+        source,
         activity_min_year=ACTIVITY_MIN_YEAR,
         answers_min_year=ANSWERS_MIN_YEAR,
         hours=FAST_HOURS,
@@ -72,12 +72,14 @@ def _text_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _all_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tag_means = tags.post_tag_features(posts(spark, sf_dir), _tag_table(spark, sf_dir))
-    return merge.merge_all(tag_means, _text_table(spark, sf_dir), _labels(spark, sf_dir))
+    source = posts(spark, sf_dir)
+    tag_means = tags.post_tag_features(source, _tag_table(source))
+    labels = response.response_labels(response.response_times(source), FAST_HOURS)
+    return merge.merge_all(tag_means, _text_table(spark, sf_dir), labels)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return text_table(spark, sf_dir, "documents", "doc_id", "text")
+    return text_table(spark, sf_dir, "documents")
 
 
 def _labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,11 +155,11 @@ def merged_tag_tables(spark, sf_dir):
 
 
 def tag_features(spark, sf_dir):
-    return _rounded(_tag_table(spark, sf_dir))
+    return _rounded(_tag_table(posts(spark, sf_dir)))
 
 
 def tag_features_scaled(spark, sf_dir):
-    scaled = tags.scale_ratio(_tag_table(spark, sf_dir))
+    scaled = tags.scale_ratio(_tag_table(posts(spark, sf_dir)))
     as_ratio = tags.scale_ratio(scaled, ("RSR",), factor=1)
     return _rounded(as_ratio.withColumnRenamed("RSR", "rsr_ratio")).withColumn(
         "rsr_ratio", F.round("rsr_ratio", RATIO_DIGITS)
@@ -165,12 +167,13 @@ def tag_features_scaled(spark, sf_dir):
 
 
 def post_tag_features(spark, sf_dir):
-    return _rounded(tags.post_tag_features(posts(spark, sf_dir), _tag_table(spark, sf_dir)))
+    source = posts(spark, sf_dir)
+    return _rounded(tags.post_tag_features(source, _tag_table(source)))
 
 
 def tags_in_use(spark, sf_dir):
-    used = tags.tags_in_use(_tag_table(spark, sf_dir), posts(spark, sf_dir), *USED_YEARS)
-    return _rounded(used)
+    source = posts(spark, sf_dir)
+    return _rounded(tags.tags_in_use(_tag_table(source), source, *USED_YEARS))
 
 
 # --- response times ------------------------------------------------------
@@ -216,7 +219,7 @@ def text_features(spark, sf_dir):
 
 def page_markers(spark, sf_dir):
     """The marker, span and title expressions over every page, paired to a post or not."""
-    return text_table(spark, sf_dir, "pages", "page_id", "url", "html").select(
+    return text_table(spark, sf_dir, "pages").select(
         "page_id",
         text.count_marker("html", SCRIPT[0]).alias("scripts"),
         text.span_length("html", *SCRIPT).alias("script_len"),
@@ -232,12 +235,12 @@ def weekend_events(spark, sf_dir):
 
 
 def strip_html(spark, sf_dir):
-    return text_table(spark, sf_dir, "pages", "page_id", "html").select("page_id", text.strip_html("html").alias("plain"))
+    return text_table(spark, sf_dir, "pages").select("page_id", text.strip_html("html").alias("plain"))
 
 
 def strip_code(spark, sf_dir):
     without = F.regexp_replace("html", "<(/?)script", "<$1code")
-    return text_table(spark, sf_dir, "pages", "page_id", "html").select(
+    return text_table(spark, sf_dir, "pages").select(
         "page_id", text.strip_newlines(text.strip_code(without)).alias("plain")
     )
 
@@ -358,6 +361,10 @@ def train_and_score(spark, sf_dir):
     return ml.train_and_score(_all_features(spark, sf_dir), "rf")
 
 
+def train_and_score_nb(spark, sf_dir):
+    return ml.train_and_score(_all_features(spark, sf_dir), "nb")
+
+
 _REGISTERED = [
     post_projection,
     posts_since,
@@ -404,6 +411,7 @@ _REGISTERED = [
     accuracy,
     feature_importance,
     train_and_score,
+    train_and_score_nb,
 ]
 
 

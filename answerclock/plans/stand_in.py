@@ -1,108 +1,100 @@
 """A post table derived from the given order tables, and post texts from the pages.
 
-An order is a question, its lines are the answers, the earliest id among them
-is the accepted answer.
+An order is a question, its lines are the answers, the least id among them is
+the accepted answer.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from answerclock.schemas import POSTS
 from answerclock.sources.readers import spread
 
-ANSWER_BASE = 4_000_000_000_000_000_000
-ANSWER_STEP = 2**22
+# Columns of the given tables that the queries read. Declared, so
+# opening a table needs no job.
+TABLES = {
+    "orders": """o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp_ntz,
+                 o_orderpriority string""",
+    "customer": "c_custkey long, c_mktsegment string",
+    "lineitem": """l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int,
+                   l_shipdate timestamp_ntz""",
+    "events": "event_id long, ts timestamp_ntz, value double",
+    "pages": "page_id long, url string, html string",
+    "documents": "doc_id long, text string",
+    "labels": "doc_id long, quality int",
+}
+
+# The line's key in one long: the order, then 22 bits mixed from the line. It lies
+# above all question ids and fits a long up to 10^12 orders.
+ANSWER_ID = """4000000000000000000 + l_orderkey * 4194304
+               + (l_partkey * 1009 + l_suppkey * 31 + l_linenumber) % 4194304"""
+
+QUESTION_COLUMNS = [
+    "o_orderkey AS id",
+    "1 AS post_type_id",
+    "CAST(NULL AS LONG) AS parent_id",
+    "accepted AS accepted_answer_id",
+    "o_orderdate AS creation_date",
+    "greatest(o_orderdate, coalesce(last_reply, o_orderdate)) AS last_activity_date",
+    """CASE WHEN o_orderkey % 50 <> 0 THEN
+         concat('<', lower(c_mktsegment), '><', lower(replace(o_orderpriority, ' ', '-')),
+                '><', lower(o_orderstatus), '>') END AS tags""",
+    "CASE WHEN o_orderkey % 7 <> 0 THEN o_custkey END AS view_count",
+    "replies AS answer_count",
+    "CASE WHEN o_orderkey % 11 <> 0 THEN o_orderkey % 5 END AS comment_count",
+]
+
+ANSWER_COLUMNS = [
+    "answer_id AS id",
+    "2 AS post_type_id",
+    "l_orderkey AS parent_id",
+    "CAST(NULL AS LONG) AS accepted_answer_id",
+    "l_shipdate AS creation_date",
+    "l_shipdate AS last_activity_date",
+    "CAST(NULL AS STRING) AS tags",
+    "CAST(NULL AS LONG) AS view_count",
+    "CAST(NULL AS LONG) AS answer_count",
+    "CAST(l_linenumber % 3 AS LONG) AS comment_count",
+]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def text_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    """Columns of a table of long texts, dealt out when its file has too few row groups."""
-    return spread(table(spark, sf_dir, name).select(*cols))
-
-
-def _answer_id() -> Column:
-    """Order number, then 22 bits mixed from the line: above all question ids, within a long."""
-    line = F.col("l_partkey") * 1009 + F.col("l_suppkey") * 31 + F.col("l_linenumber")
-    return F.lit(ANSWER_BASE) + F.col("l_orderkey") * ANSWER_STEP + line % ANSWER_STEP
-
-
-def _tag_text() -> Column:
-    priority = F.replace(F.col("o_orderpriority"), F.lit(" "), F.lit("-"))
-    tags = F.concat(
-        F.lit("<"),
-        F.lower("c_mktsegment"),
-        F.lit("><"),
-        F.lower(priority),
-        F.lit("><"),
-        F.lower("o_orderstatus"),
-        F.lit(">"),
-    )
-    return F.when(F.col("o_orderkey") % 50 != 0, tags)
-
-
-def _typed(df: DataFrame, **columns: Column) -> DataFrame:
-    """Select every post column: given ones by name, the rest null."""
-    return df.select(
-        [
-            columns.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in POSTS.fields
-            if f.name not in ("title", "body")
-        ]
-    )
+def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of long texts, dealt out when its file has too few row groups."""
+    return spread(table(spark, sf_dir, name))
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_shipdate", _answer_id().alias("answer_id")
-    )
-    replies = lines.groupBy("l_orderkey").agg(
-        F.min("answer_id").alias("accepted"),
-        F.max("l_shipdate").alias("last_reply"),
-        F.count(F.lit(1)).alias("replies"),
-    )
-    asked = orders.join(customer, orders["o_custkey"] == customer["c_custkey"]).join(
-        replies, orders["o_orderkey"] == replies["l_orderkey"], "left"
-    )
-    key, date = F.col("o_orderkey"), F.col("o_orderdate")
-    questions = _typed(
-        asked,
-        id=key,
-        post_type_id=F.lit(1),
-        accepted_answer_id=F.col("accepted"),
-        creation_date=date,
-        last_activity_date=F.greatest(date, F.coalesce("last_reply", date)),
-        tags=_tag_text(),
-        view_count=F.when(key % 7 != 0, F.col("o_custkey")),
-        answer_count=F.col("replies"),
-        comment_count=F.when(key % 11 != 0, key % 5),
+    lines = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey", "l_linenumber", "l_shipdate", f"{ANSWER_ID} AS answer_id"
     )
-    answers = _typed(
-        lines,
-        id=F.col("answer_id"),
-        post_type_id=F.lit(2),
-        parent_id=F.col("l_orderkey"),
-        creation_date=F.col("l_shipdate"),
-        last_activity_date=F.col("l_shipdate"),
-        comment_count=F.col("l_linenumber") % 3,
+    replies = (
+        lines.groupBy("l_orderkey")
+        .agg({"answer_id": "min", "l_shipdate": "max", "*": "count"})
+        .selectExpr(
+            "l_orderkey AS o_orderkey",
+            "`min(answer_id)` AS accepted",
+            "`max(l_shipdate)` AS last_reply",
+            "`count(1)` AS replies",
+        )
     )
-    return questions.unionByName(answers)
+    customer = table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "o_custkey")
+    asked = table(spark, sf_dir, "orders").join(customer, "o_custkey")
+    questions = asked.join(replies, "o_orderkey", "left").selectExpr(*QUESTION_COLUMNS)
+    return questions.unionByName(lines.selectExpr(*ANSWER_COLUMNS))
 
 
 def post_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, creation_date, title, body) of questions that have a page: HTML and its title."""
-    pages = text_table(spark, sf_dir, "pages", "page_id", "html").select(
-        F.col("page_id").alias("id"),
-        F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"),
-        F.col("html").alias("body"),
+    pages = text_table(spark, sf_dir, "pages").selectExpr(
+        "page_id AS id",
+        "regexp_extract(html, '<title>([^<]*)</title>', 1) AS title",
+        "html AS body",
     )
-    dates = table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("creation_date")
+    dates = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS id", "o_orderdate AS creation_date"
     )
     return dates.join(pages, "id")
