@@ -134,7 +134,7 @@ frequencies AS (
   SELECT term, count(*) AS doc_freq, CAST(sum(n) AS BIGINT) AS term_freq
   FROM counts GROUP BY term)"""
 
-_RATIOS = "round(PR, 15) AS PR, round(ASR, 15) AS ASR"
+_RATIOS = "round(PR, 12) AS PR, round(ASR, 12) AS ASR"
 _MEANS = ", ".join(f"round(CAST({c} AS DOUBLE), 6) AS {c}" for c in ["TCF", "VCF", "ACF", "latf_h"])
 _ROUNDED = f"{_RATIOS}, {_MEANS}, round(CAST(RSR AS DOUBLE), 6) AS RSR"
 
@@ -478,7 +478,7 @@ cells AS (
   SELECT id, generate_subscripts(f, 1) - 1 AS place, unnest(f) AS value
   FROM (SELECT id, [{_FEATURE_LIST}] AS f FROM all_features))""",
             select="""SELECT id, CAST(place AS INTEGER) AS place,
-                      round(value, CASE WHEN place < 2 THEN 15 ELSE 6 END) AS value FROM cells""",
+                      round(value, CASE WHEN place < 2 THEN 12 ELSE 6 END) AS value FROM cells""",
         ),
         "predict_nb": _with(
             *_FEATURE_PARTS, _BAYES, select="SELECT id, label, prediction FROM predictions"

@@ -32,13 +32,15 @@ HISTOGRAM_MAX_HOURS = 8760
 SCRIPT = ("<script", "</script>")
 PARAGRAPH = "<p"
 
-# Ratios are tiny: round them finely. Other means are rounded to 6 digits.
-RATIO_DIGITS = 15
+# Ratios are multiples of 7e-8, scaled ones far smaller: round them finely. Sums of
+# doubles in another order differ beyond these digits.
+RATIO_DIGITS = 12
+SCALED_DIGITS = 15
 DIGITS = 6
 
 
-def _rounded(df: DataFrame) -> DataFrame:
-    digits = {c: RATIO_DIGITS if c in ("PR", "ASR") else DIGITS for c in TAG_FEATURES}
+def _rounded(df: DataFrame, ratio_digits: int = RATIO_DIGITS) -> DataFrame:
+    digits = {c: ratio_digits if c in ("PR", "ASR") else DIGITS for c in TAG_FEATURES}
     return df.withColumns(
         {c: F.round(F.col(c).cast("double"), d) for c, d in digits.items() if c in df.columns}
     )
@@ -160,9 +162,9 @@ def tag_features(spark, sf_dir):
 
 def tag_features_scaled(spark, sf_dir):
     scaled = tags.scale_ratio(_tag_table(posts(spark, sf_dir)))
-    as_ratio = tags.scale_ratio(scaled, ("RSR",), factor=1)
-    return _rounded(as_ratio.withColumnRenamed("RSR", "rsr_ratio")).withColumn(
-        "rsr_ratio", F.round("rsr_ratio", RATIO_DIGITS)
+    as_ratio = tags.scale_ratio(scaled, ("RSR",), factor=1).withColumnRenamed("RSR", "rsr_ratio")
+    return _rounded(as_ratio, SCALED_DIGITS).withColumn(
+        "rsr_ratio", F.round("rsr_ratio", SCALED_DIGITS)
     )
 
 
