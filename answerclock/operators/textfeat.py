@@ -13,7 +13,7 @@ def text_features(
     df: DataFrame,
     title: str = "title",
     body: str = "body",
-    ts: str = "creation_date",
+    ts: str | None = "creation_date",
     key: str = "id",
     code_open: str = text.CODE_OPEN,
     code_close: str = text.CODE_CLOSE,
@@ -21,7 +21,12 @@ def text_features(
     question_mark: str = text.QUESTION_MARK,
     question_prefix: str = text.QUESTION_PREFIX,
 ) -> DataFrame:
-    """The eight text and time features per row, as built-in expressions in one projection."""
+    """The eight text and time features per row, as built-in expressions in one projection.
+
+    With ``ts=None`` the weekend flag is left out: for texts whose time is in another
+    table, so that the join meets these narrow rows and not the texts.
+    """
+    time_features = [] if ts is None else [is_weekend(ts).alias("is_weekend")]
     return df.select(
         F.col(key),
         text.count_marker(body, code_open).alias("num_code_snippet"),
@@ -31,5 +36,5 @@ def text_features(
         F.length(title).alias("title_len"),
         text.ends_with(title, question_mark).alias("end_que_mark"),
         text.begins_with(title, question_prefix).alias("begin_que_word"),
-        is_weekend(ts).alias("is_weekend"),
+        *time_features,
     )

@@ -8,14 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline
 from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel, HashingTF
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from answerclock.functions import terms, words
 from answerclock.functions.text import strip_html
-from answerclock.operators.lookups import BROADCAST_LIMIT, join_lookup
+from answerclock.operators.lookups import BROADCAST_LIMIT, checkpointed, join_lookup
 
 # Least number of documents that hold a term.
 COUNT_MIN_DF = 2
@@ -105,26 +104,52 @@ def tfidf(
 def count_vectors(
     docs: DataFrame, tokens_col: str = "tokens", min_df: float = COUNT_MIN_DF
 ) -> tuple[DataFrame, CountVectorizerModel]:
-    """``docs`` with a ``features`` vector of term counts, and the fitted vocabulary."""
+    """``docs`` with a ``features`` vector of term counts, and the fitted vocabulary.
+
+    Fitting and counting both read ``docs``; checkpoint it first if its tokens are stems.
+    """
     counter = CountVectorizer(inputCol=tokens_col, outputCol="features", minDF=float(min_df))
     model = counter.fit(docs)
     return model.transform(docs).drop(tokens_col), model
 
 
+def hashed_counts(docs: DataFrame, tokens_col: str = "tokens") -> DataFrame:
+    """``docs`` with hashed term counts in place of the tokens, inside each row."""
+    hasher = HashingTF(inputCol=tokens_col, outputCol="term_counts")
+    return hasher.transform(docs).drop(tokens_col)
+
+
+def weigh(hashed: DataFrame, min_df: int = IDF_MIN_DF) -> DataFrame:
+    """Hashed counts to a ``features`` vector of TF-IDF weights.
+
+    Fitting and weighing both read the counts, so they are checkpointed: tokens
+    and stems are worked out once.
+    """
+    stored = checkpointed(hashed)
+    model = IDF(inputCol="term_counts", outputCol="features", minDocFreq=min_df).fit(stored)
+    return model.transform(stored).drop("term_counts")
+
+
 def tfidf_vectors(
     docs: DataFrame, tokens_col: str = "tokens", min_df: int = IDF_MIN_DF
 ) -> DataFrame:
     """``docs`` with a ``features`` vector of hashed TF-IDF weights."""
-    hashed = HashingTF(inputCol=tokens_col, outputCol="term_counts")
-    weighed = IDF(inputCol="term_counts", outputCol="features", minDocFreq=min_df)
-    model = Pipeline(stages=[hashed, weighed]).fit(docs)
-    return model.transform(docs).drop(tokens_col, "term_counts")
+    return weigh(hashed_counts(docs, tokens_col), min_df)
 
 
 def doc_vectors(
-    df: DataFrame, key: str = "id", text: str = "body", label: str = "label"
+    docs: DataFrame,
+    labels: DataFrame,
+    key: str = "id",
+    text: str = "body",
+    label: str = "label",
+    min_df: int = IDF_MIN_DF,
 ) -> DataFrame:
-    """The whole text job: (key, features, label) from HTML text, ready to train on."""
-    plain = df.select(key, label, strip_html(text).alias("plain"))
-    docs = token_arrays(plain, key, "plain", keep=[label])
-    return tfidf_vectors(docs).select(key, "features", label)
+    """The whole text job: (key, features, label) from HTML texts and a table of labels.
+
+    Texts become hashed counts before they meet their labels, so the join carries
+    counts and not texts. Weights are fitted on the labelled documents.
+    """
+    plain = docs.select(key, strip_html(text).alias("plain"))
+    hashed = hashed_counts(token_arrays(plain, key, "plain"))
+    return weigh(hashed.join(labels.select(key, label), key), min_df).select(key, "features", label)

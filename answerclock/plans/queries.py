@@ -17,7 +17,13 @@ from answerclock.functions import text
 from answerclock.functions.times import is_weekend
 from answerclock.operators import merge, ml, response, tags, textfeat, texts
 from answerclock.operators import posts as post_ops
-from answerclock.plans.stand_in import post_texts, posts, table, text_table
+from answerclock.plans.stand_in import (
+    post_dates,
+    post_texts,
+    posts,
+    table,
+    text_table,
+)
 from answerclock.schemas import FEATURES, TAG_FEATURES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,13 +70,18 @@ def _tag_table(source: DataFrame) -> DataFrame:
 
 
 def _text_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return textfeat.text_features(
+    """Features of the pages that belong to a question. Texts are read before the join."""
+    features = textfeat.text_features(
         post_texts(spark, sf_dir),
+        ts=None,
         code_open=SCRIPT[0],
         code_close=SCRIPT[1],
         image_open=PARAGRAPH,
         question_mark=".",
     )
+    dates = post_dates(spark, sf_dir)
+    weekend = is_weekend("creation_date").alias("is_weekend")
+    return features.join(dates, "id").select(*features.columns, weekend)
 
 
 def _all_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,11 +95,6 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_table(spark, sf_dir, "documents")
 
 
-def _labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
-    return _documents(spark, sf_dir).join(labels, "doc_id")
-
-
 def _clean_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.token_arrays(_documents(spark, sf_dir), "doc_id", "text", stemmed=False)
 
@@ -304,7 +310,8 @@ def tfidf_vectors(spark, sf_dir):
 
 
 def doc_vectors(spark, sf_dir):
-    return texts.doc_vectors(_labelled_documents(spark, sf_dir), "doc_id", "text")
+    labels = table(spark, sf_dir, "labels").withColumnRenamed("quality", "label")
+    return texts.doc_vectors(_documents(spark, sf_dir), labels, "doc_id", "text")
 
 
 # --- training ------------------------------------------------------------

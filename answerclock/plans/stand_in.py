@@ -88,13 +88,16 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def post_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(id, creation_date, title, body) of questions that have a page: HTML and its title."""
-    pages = text_table(spark, sf_dir, "pages").selectExpr(
+    """(id, title, body) per page: its HTML and the title in it."""
+    return text_table(spark, sf_dir, "pages").selectExpr(
         "page_id AS id",
         "regexp_extract(html, '<title>([^<]*)</title>', 1) AS title",
         "html AS body",
     )
-    dates = table(spark, sf_dir, "orders").selectExpr(
+
+
+def post_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, creation_date) of every question."""
+    return table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey AS id", "o_orderdate AS creation_date"
     )
-    return dates.join(pages, "id")

@@ -172,6 +172,7 @@ def test_text_expressions_are_built_in(spark):
     )
     plan = plan_of(text_features(df))
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+    assert text_features(df, ts=None).columns == text_features(df).columns[:-1]
 
 
 # Words and stems from the published description of the algorithm.

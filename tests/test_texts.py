@@ -130,9 +130,11 @@ def test_vectors(arrays, documents):
     assert by_id[2][model.vocabulary.index("cats")] == 2.0 and by_id[3].numNonzeros() == 0
     hashed = {r.id: r.features for r in texts.tfidf_vectors(arrays, min_df=1).collect()}
     assert hashed[1].numNonzeros() == 4 and hashed[4].numNonzeros() == 0
-    labelled = documents.withColumn("label", F.lit(1))
-    out = texts.doc_vectors(labelled)
-    assert out.columns == ["id", "features", "label"] and out.count() == 5
+    labels = documents.filter("id > 1").select("id", F.lit(1).alias("label"))
+    out = texts.doc_vectors(documents, labels, min_df=1)
+    assert out.columns == ["id", "features", "label"]
+    sizes = {r.id: r.features.numNonzeros() for r in out.collect()}
+    assert sizes == {2: 3, 3: 0, 4: 0, 5: 3}
 
 
 def test_stems_work_where_the_package_is_missing(tmp_path):
