@@ -207,7 +207,10 @@ def _stems(source: str) -> str:
     )
     later.append(f"CASE WHEN ends_with(w, 'll') AND {_measure('sh')} > 1 THEN {_cut(1)} ELSE w END")
 
-    parts = [f"p0 AS (SELECT token, token AS w, {_shape('token')} AS sh FROM {source} WHERE length(token) > 2)"]
+    parts = [
+        f"p0 AS (SELECT token, token AS w, {_shape('token')} AS sh FROM {source} "
+        "WHERE length(token) > 2)"
+    ]
     n = 0
     for step in steps:
         parts.append(
@@ -435,7 +438,8 @@ SELECT doc_id, CAST(generate_subscripts(parts, 1) - 1 AS INTEGER) AS pos,
             CLEAN,
             "\nterms AS (SELECT DISTINCT token FROM clean)",
             _stems("terms"),
-            select="""SELECT documents.doc_id, coalesce(string_agg(stem, ' ' ORDER BY pos), '') AS stems
+            select="""SELECT documents.doc_id,
+                      coalesce(string_agg(stem, ' ' ORDER BY pos), '') AS stems
                       FROM documents LEFT JOIN (clean JOIN stems USING (token)) USING (doc_id)
                       GROUP BY documents.doc_id""",
         ),

@@ -239,11 +239,13 @@ def page_markers(spark, sf_dir):
 
 
 def weekend_events(spark, sf_dir):
-    return table(spark, sf_dir, "events").select("event_id", is_weekend("ts").alias("is_weekend"))
+    events = table(spark, sf_dir, "events")
+    return events.select("event_id", is_weekend("ts").alias("is_weekend"))
 
 
 def strip_html(spark, sf_dir):
-    return text_table(spark, sf_dir, "pages").select("page_id", text.strip_html("html").alias("plain"))
+    pages = text_table(spark, sf_dir, "pages")
+    return pages.select("page_id", text.strip_html("html").alias("plain"))
 
 
 def strip_code(spark, sf_dir):

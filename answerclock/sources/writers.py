@@ -9,7 +9,7 @@ from answerclock.schemas import POST_COLUMNS
 
 
 def _parts(df: DataFrame, files: int | None) -> DataFrame:
-    """``files`` output partitions. A shuffle keeps the work before it parallel; coalesce would not."""
+    """``files`` output partitions. The shuffle keeps the work before it parallel."""
     return df if files is None else df.repartition(files)
 
 
