@@ -22,11 +22,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     a local session gets a temporary one; a cluster session is refused.
     """
     spark = df.sparkSession
-    _ensure_checkpoint_dir(spark)
+    ensure_checkpoint_dir(spark)
     return df.checkpoint(eager=True)
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> None:
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Take the folder from ``spark.checkpoint.dir``; only a local session may go without."""
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
         return
