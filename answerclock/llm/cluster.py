@@ -31,7 +31,7 @@ def ship(spark: SparkSession) -> None:
     context._answerclock_shipped = True
 
 
-def map_arrow(df: DataFrame, kernel, schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, kernel, schema) -> DataFrame:
     """``df.mapInArrow`` with the package shipped first."""
     ship(df.sparkSession)
     return df.mapInArrow(kernel, schema)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from answerclock.llm import mixing, token_binary
+from answerclock.llm import dedup_minmax, language_id, mixing, token_binary
 from answerclock.llm.oracles import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,17 +26,25 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_minmax_dedup(spark, sf_dir):
+    return dedup_minmax.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op3_mixing(spark, sf_dir):
     mixed = mixing.mix(_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def op5_language_id(spark, sf_dir):
+    return language_id.identify(_table(spark, sf_dir, "documents"))
+
+
 def op8_token_binary(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     return token_binary.round_trip(docs, tokenizer_path(), END_ID)
 
 
-_REGISTERED = [op3_mixing, op8_token_binary]
+_REGISTERED = [op1_minmax_dedup, op3_mixing, op5_language_id, op8_token_binary]
 
 
 def queries() -> dict[str, Query]:
