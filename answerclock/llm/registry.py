@@ -6,7 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from answerclock.llm import dedup_minmax, language_id, mixing, token_binary
+from answerclock.llm import (
+    decontaminate,
+    dedup_minmax,
+    language_id,
+    mixing,
+    quality_cascade,
+    token_binary,
+)
 from answerclock.llm.oracles import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +37,10 @@ def op1_minmax_dedup(spark, sf_dir):
     return dedup_minmax.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op2_quality_rules(spark, sf_dir):
+    return quality_cascade.judged(_table(spark, sf_dir, "documents")).drop("failed_rule")
+
+
 def op3_mixing(spark, sf_dir):
     mixed = mixing.mix(_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "source", "size", "source_size", "target", "taken")
@@ -44,7 +55,19 @@ def op8_token_binary(spark, sf_dir):
     return token_binary.round_trip(docs, tokenizer_path(), END_ID)
 
 
-_REGISTERED = [op1_minmax_dedup, op3_mixing, op5_language_id, op8_token_binary]
+def op10_decontamination(spark, sf_dir):
+    docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return decontaminate.digest(decontaminate.contamination(docs, items))
+
+
+_REGISTERED = [
+    op1_minmax_dedup,
+    op2_quality_rules,
+    op3_mixing,
+    op5_language_id,
+    op8_token_binary,
+    op10_decontamination,
+]
 
 
 def queries() -> dict[str, Query]:
