@@ -222,3 +222,12 @@ def digest(found: DataFrame) -> DataFrame:
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+def clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that hold no window of an item."""
+    mark = F.struct(F.col(key).alias("key"), F.xxhash64(text).alias("text"))
+    marked = docs.withColumn("_item_mark", mark)
+    found = contamination(marked, items, "_item_mark", text)
+    hit = found.filter("n_hit > 0").select(F.col("doc_id").alias("_item_mark")).distinct()
+    return marked.join(hit, "_item_mark", "left_anti").select(*docs.columns)

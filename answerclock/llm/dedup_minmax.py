@@ -277,6 +277,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return _labelled(features, classes, roots)
 
 
+def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of ``docs``, all columns, of each group: the one with the smallest key.
+
+    Repeated rows (same key and text) stay once. Rows without a key stay, once for each text.
+    """
+    kept = near_duplicates(docs, key, text).filter("kept").select(F.col("doc_id").alias(key))
+    keyed = docs.join(kept.filter(F.col(key).isNotNull()).distinct(), key, "left_semi")
+    keyed = keyed.select(*docs.columns).dropDuplicates([key, text])
+    return keyed.unionByName(docs.filter(F.col(key).isNull()).dropDuplicates([text]))
+
+
 def _tree(roots: DataFrame) -> DataFrame:
     return roots.select(F.col("node").alias("a"), F.col("root").alias("b")).filter("a <> b")
 

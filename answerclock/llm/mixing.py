@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -34,15 +34,19 @@ LEVEL_BITS = 15
 LEVELS = 4  # 60 bits, 15 hexadecimal digits of the hash
 
 
+def hash_place(key: str) -> Column:
+    """The 60-bit hash of a document."""
+    name = F.concat_ws(":", F.lit(SEED), F.coalesce(F.col(key).cast("string"), F.lit("null")))
+    return F.conv(F.substring(F.md5(name), 1, 15), 16, 10).cast("long")
+
+
 def sized(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source"):
     """(key, source, size, place): words and the 60-bit hash of every document."""
-    name = F.concat_ws(":", F.lit(SEED), F.coalesce(F.col(key).cast("string"), F.lit("null")))
-    place = F.conv(F.substring(F.md5(name), 1, 15), 16, 10).cast("long")
     return docs.select(
         F.col(key).alias("doc_id"),
         F.col(source).alias("source"),
         word_count(text).alias("size"),
-        place.alias("place"),
+        hash_place(key).alias("place"),
     )
 
 
@@ -149,3 +153,21 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
         copies.alias("copies"),
         (F.col("size") * copies).alias("taken"),
     )
+
+
+def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **how):
+    """The mix itself: the rows of ``docs``, each as often as it is taken, in its own columns.
+
+    Rows stay where they are; only the limits of their source come to them.
+    """
+    sizes = stored(sized(docs, key, text, source))
+    limits = stored(thresholds(sizes, source_targets(sizes, **how))).select(
+        F.col("source").alias("_mix_source"),
+        F.col("repeats").alias("_mix_repeats"),
+        F.col("threshold").alias("_mix_threshold"),
+    )
+    joined = docs.join(limits, docs[source].eqNullSafe(limits["_mix_source"]))
+    below = F.coalesce(hash_place(key) < F.col("_mix_threshold"), F.lit(False))
+    copies = (F.col("_mix_repeats") + below.cast("long")).cast("int")
+    numbers = F.array_repeat(F.lit(0), copies)
+    return joined.withColumn("_mix_copy", F.explode(numbers)).select(*docs.columns)
