@@ -12,6 +12,7 @@ from answerclock.llm import (
     language_id,
     mixing,
     quality_cascade,
+    secret_scan,
     token_binary,
 )
 from answerclock.llm.oracles import ORACLES
@@ -50,6 +51,10 @@ def op5_language_id(spark, sf_dir):
     return language_id.identify(_table(spark, sf_dir, "documents"))
 
 
+def op7_secret_scan(spark, sf_dir):
+    return secret_scan.digest(secret_scan.scan(_table(spark, sf_dir, "documents")))
+
+
 def op8_token_binary(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     return token_binary.round_trip(docs, tokenizer_path(), END_ID)
@@ -65,6 +70,7 @@ _REGISTERED = [
     op2_quality_rules,
     op3_mixing,
     op5_language_id,
+    op7_secret_scan,
     op8_token_binary,
     op10_decontamination,
 ]
