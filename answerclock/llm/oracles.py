@@ -109,8 +109,31 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
             OR 2 * len(regexp_extract_all(t, '\p{Lu}')) > word_chars) AS kept
 FROM counted"""
 
+SUBSTRINGS = r"""
+WITH base AS (
+  SELECT row_number() OVER (ORDER BY doc_id) AS r, doc_id,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+windows AS (
+  SELECT r, i, row_number() OVER (PARTITION BY words ORDER BY r, i) AS nth
+  FROM (SELECT r, i, array_to_string(w[i:i + 19], ' ') AS words
+        FROM (SELECT r, w, unnest(generate_series(1, len(w) - 19)) AS i FROM base))),
+removed AS (
+  SELECT DISTINCT r, p
+  FROM (SELECT r, unnest(generate_series(i, i + 19)) AS p FROM windows WHERE nth > 1)),
+words AS (
+  SELECT r, unnest(w) AS word, unnest(generate_series(1, len(w))) AS p FROM base),
+kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY p) AS text
+  FROM words ANTI JOIN removed USING (r, p) GROUP BY r),
+gone AS (SELECT r, count(*) AS n FROM removed GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM base LEFT JOIN kept USING (r) LEFT JOIN gone USING (r)"""
+
 ORACLES = {
     "op2_quality_rules": QUALITY,
     "op3_mixing": MIXING,
+    "op6_substring_dedup": SUBSTRINGS,
     "op10_decontamination": DECONTAMINATION,
 }

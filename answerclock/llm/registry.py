@@ -13,6 +13,7 @@ from answerclock.llm import (
     mixing,
     quality_cascade,
     secret_scan,
+    substring_dedup,
     token_binary,
 )
 from answerclock.llm.oracles import ORACLES
@@ -51,6 +52,11 @@ def op5_language_id(spark, sf_dir):
     return language_id.identify(_table(spark, sf_dir, "documents"))
 
 
+def op6_substring_dedup(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    return substring_dedup.remove_repeats(docs).drop("spans")
+
+
 def op7_secret_scan(spark, sf_dir):
     return secret_scan.digest(secret_scan.scan(_table(spark, sf_dir, "documents")))
 
@@ -70,6 +76,7 @@ _REGISTERED = [
     op2_quality_rules,
     op3_mixing,
     op5_language_id,
+    op6_substring_dedup,
     op7_secret_scan,
     op8_token_binary,
     op10_decontamination,
