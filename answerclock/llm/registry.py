@@ -11,10 +11,12 @@ from answerclock.llm import (
     dedup_minmax,
     language_id,
     mixing,
+    pseudonyms,
     quality_cascade,
     secret_scan,
     substring_dedup,
     token_binary,
+    url_filter,
 )
 from answerclock.llm.oracles import ORACLES
 
@@ -23,6 +25,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Production parameters that are no default of the operators.
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
+# A key for the registered query only; a real corpus takes its own from a secret store.
+PSEUDONYM_KEY = "registered query"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +52,10 @@ def op3_mixing(spark, sf_dir):
     return mixed.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def op4_url_filter(spark, sf_dir):
+    return url_filter.judged(_table(spark, sf_dir, "pages")).drop("score")
+
+
 def op5_language_id(spark, sf_dir):
     return language_id.identify(_table(spark, sf_dir, "documents"))
 
@@ -66,6 +74,11 @@ def op8_token_binary(spark, sf_dir):
     return token_binary.round_trip(docs, tokenizer_path(), END_ID)
 
 
+def op9_pseudonyms(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    return pseudonyms.digest(pseudonyms.pseudonymise(docs, PSEUDONYM_KEY))
+
+
 def op10_decontamination(spark, sf_dir):
     docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     return decontaminate.digest(decontaminate.contamination(docs, items))
@@ -75,10 +88,12 @@ _REGISTERED = [
     op1_minmax_dedup,
     op2_quality_rules,
     op3_mixing,
+    op4_url_filter,
     op5_language_id,
     op6_substring_dedup,
     op7_secret_scan,
     op8_token_binary,
+    op9_pseudonyms,
     op10_decontamination,
 ]
 
