@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_LIMIT = 64 * 1024 * 1024
+HOT_SHARE = 0.001
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -56,21 +57,23 @@ def join_lookup(
     frequency: str,
     how: str = "inner",
     broadcast_limit: int = BROADCAST_LIMIT,
+    hot_share: float = HOT_SHARE,
 ) -> DataFrame:
     """Join ``rows`` with ``lookup`` (one row per ``key``), whatever the size or skew.
 
     ``frequency`` is a column of ``lookup`` that grows with the number of rows of
     its key. Up to ``broadcast_limit`` bytes the whole table is broadcast. A larger
-    one is split: as many of its most frequent keys as fit the limit are broadcast,
-    which takes the hot keys and most rows out of the shuffle, and the other keys
-    meet their rows in a shuffle join. ``how`` is ``inner``, ``left`` or ``left_semi``.
+    one is split: the keys with more than ``hot_share`` of all frequencies (no more
+    than ``1 / hot_share`` of them can exist) are broadcast and leave the shuffle, the
+    other keys meet their rows in a shuffle join. ``rows`` is checkpointed first, as
+    both parts read it. ``how`` is ``inner``, ``left`` or ``left_semi``.
     """
     lookup = checkpointed(lookup)
-    count, size = table_size(lookup)
-    if size <= broadcast_limit:
+    if table_size(lookup)[1] <= broadcast_limit:
         return rows.join(F.broadcast(lookup), key, how)
-    fitting = max(1, count * broadcast_limit // size)
-    hot = checkpointed(lookup.orderBy(F.col(frequency).desc(), F.col(key)).limit(fitting))
+    total = lookup.agg(F.sum(frequency)).first()[0]
+    hot = lookup.filter(F.col(frequency) > hot_share * (total or 0))
+    rows = checkpointed(rows)
     hot_keys = F.broadcast(hot.select(key))
     hot_joined = rows.join(F.broadcast(hot), key, "inner" if how == "left" else how)
     cold_rows = rows.join(hot_keys, key, "left_anti")

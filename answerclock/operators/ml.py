@@ -16,6 +16,7 @@ from answerclock.schemas import FEATURES
 # Split and model settings.
 TRAIN_SHARE = 0.8
 SEED = 100
+MAX_CLASSES = 1000
 LOGISTIC = {"maxIter": 5, "regParam": 0.3, "elasticNetParam": 0.0}
 
 
@@ -37,6 +38,7 @@ def train_test_split(
 ) -> tuple[DataFrame, DataFrame]:
     """(train, test): by ``key`` when given, else a random split that follows partitions."""
     if key is None:
+        df = checkpointed(df)  # each part reads it; the rows must not move in between
         train, test = df.randomSplit([share, 1 - share], seed=seed)
         return train, test
     in_train = key_share(key, seed) < share
@@ -77,7 +79,10 @@ def fit(
     # Naive Bayes predicts the place of a label among those it saw, which is the
     # label itself only when every label from 0 up is there. Translate both ways.
     label = F.col("label").cast("double")
-    seen = [row[0] for row in df.select(label.alias("label")).distinct().sort("label").collect()]
+    found = df.select(label.alias("label")).distinct().limit(MAX_CLASSES + 1).collect()
+    if len(found) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} labels: this is no class column")
+    seen = sorted(row[0] for row in found)
     place = F.array_position(F.array(*[F.lit(value) for value in seen]), label) - 1
     model = model.setLabelCol("label_place").setPredictionCol("label_place_predicted")
     fitted = Pipeline(stages=[*before, model]).fit(df.withColumn("label_place", place))

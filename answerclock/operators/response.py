@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from answerclock.functions.times import seconds_between
+from answerclock.operators.storage import stored
 
 # Label limit, interval edges and histogram settings.
 LABEL_HOURS = 1
@@ -19,12 +20,13 @@ HISTOGRAM_MAX_HOURS = 25
 def accepted_pairs(posts: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Every question with the time of its accepted answer: (id, asked, answered, ``carry``...).
 
-    Both sides are cut to the columns needed before the shuffle.
+    Only answers (posts with a parent) are offered as answers, and both sides are cut to the
+    columns needed before the shuffle.
     """
     asked = posts.filter(F.col("accepted_answer_id").isNotNull()).select(
         "id", F.col("creation_date").alias("asked"), "accepted_answer_id", *carry
     )
-    answered = posts.select(
+    answered = posts.filter(F.col("parent_id").isNotNull()).select(
         F.col("id").alias("answer_id"), F.col("creation_date").alias("answered")
     )
     pairs = asked.join(answered, asked["accepted_answer_id"] == answered["answer_id"])
@@ -64,15 +66,18 @@ def histogram(
 ) -> DataFrame:
     """Counts in ``bins`` equal-width bins from minimum to maximum, the last one closed.
 
-    Two passes, bounds and then bins, each combined inside its tasks: at most
-    ``bins`` rows per task are shuffled. The bounds come from a scalar subquery
-    that shares the exchanges of the main plan. A constant column gets a range of
-    one around it. Empty bins show 0.
+    Null, NaN and infinite values are left out. The one narrow column is stored, so
+    that what made it runs once; bounds and bins are two passes over it, each combined
+    inside its tasks: at most ``bins`` rows per task are shuffled. A constant column
+    gets a range of one around it. Empty bins show 0.
     """
     value = F.col(col).cast("double")
-    kept = df.select(value.alias("value")).filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    kept = df.select(value.alias("value")).filter(
+        F.col("value").isNotNull() & ~F.isnan("value") & (F.abs("value") < float("inf"))
+    )
     if maximum is not None:
         kept = kept.filter(F.col("value") <= maximum)
+    kept = stored(kept)
     low, high = F.min("value"), F.max("value")
     pad = F.when(low == high, 0.5).otherwise(0.0)
     bounds = kept.agg(F.struct((low - pad).alias("low"), (high + pad).alias("high"))).scalar()

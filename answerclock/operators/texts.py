@@ -8,17 +8,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel, HashingTF
+from pyspark.ml.feature import IDF, HashingTF
+from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from answerclock.functions import terms, words
 from answerclock.functions.text import strip_html
-from answerclock.operators.lookups import BROADCAST_LIMIT, checkpointed, join_lookup
+from answerclock.operators.lookups import (
+    BROADCAST_LIMIT,
+    checkpointed,
+    join_lookup,
+    table_size,
+)
+from answerclock.operators.storage import numbered, stored
 
 # Least number of documents that hold a term.
 COUNT_MIN_DF = 2
 IDF_MIN_DF = 5
+HASH_PLACES = 1 << 18
 
 
 def sentences(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -102,20 +110,41 @@ def tfidf(
 
 
 def count_vectors(
-    docs: DataFrame, tokens_col: str = "tokens", min_df: float = COUNT_MIN_DF
-) -> tuple[DataFrame, CountVectorizerModel]:
-    """``docs`` with a ``features`` vector of term counts, and the fitted vocabulary.
+    docs: DataFrame,
+    key: str,
+    tokens_col: str = "tokens",
+    min_df: int = COUNT_MIN_DF,
+    broadcast_limit: int = BROADCAST_LIMIT,
+) -> tuple[DataFrame, DataFrame]:
+    """(key, features) with vectors of term counts, and (term, doc_freq, term_freq, place).
 
-    Fitting and counting both read ``docs``; checkpoint it first if its tokens are stems.
+    The vocabulary is a table of any size: its terms are numbered by falling frequency
+    (then by term) in range order, none is left out and none reaches the driver. A
+    document without a term of the vocabulary has an empty vector. ``key`` is unique.
     """
-    counter = CountVectorizer(inputCol=tokens_col, outputCol="features", minDF=float(min_df))
-    model = counter.fit(docs)
-    return model.transform(docs).drop(tokens_col), model
+    counts = stored(term_counts(docs, key, tokens_col))
+    terms_ = vocabulary(counts, min_df)
+    places = stored(numbered(terms_, F.col("term_freq").desc(), F.col("term"), name="place"))
+    size = places.count()
+    found = join_lookup(
+        counts, places.select("term", "doc_freq", "place"), "term", "doc_freq",
+        broadcast_limit=broadcast_limit,
+    )
+    cell = F.struct(F.col("place").cast("int").alias("place"), F.col("n").cast("double").alias("n"))
+    cells = found.groupBy(key).agg(F.array_sort(F.collect_list(cell)).alias("cells"))
+    every = docs.select(key).join(cells, key, "left")
+    to_vector = F.udf(
+        lambda places_, values: SparseVector(size, places_ or [], values or []), VectorUDT()
+    )
+    features = to_vector(F.col("cells.place"), F.col("cells.n"))
+    return every.select(key, features.alias("features")), places
 
 
-def hashed_counts(docs: DataFrame, tokens_col: str = "tokens") -> DataFrame:
-    """``docs`` with hashed term counts in place of the tokens, inside each row."""
-    hasher = HashingTF(inputCol=tokens_col, outputCol="term_counts")
+def hashed_counts(
+    docs: DataFrame, tokens_col: str = "tokens", places: int = HASH_PLACES
+) -> DataFrame:
+    """``docs`` with term counts hashed to ``places`` in place of the tokens, inside each row."""
+    hasher = HashingTF(inputCol=tokens_col, outputCol="term_counts", numFeatures=places)
     return hasher.transform(docs).drop(tokens_col)
 
 
@@ -131,10 +160,13 @@ def weigh(hashed: DataFrame, min_df: int = IDF_MIN_DF) -> DataFrame:
 
 
 def tfidf_vectors(
-    docs: DataFrame, tokens_col: str = "tokens", min_df: int = IDF_MIN_DF
+    docs: DataFrame,
+    tokens_col: str = "tokens",
+    min_df: int = IDF_MIN_DF,
+    places: int = HASH_PLACES,
 ) -> DataFrame:
     """``docs`` with a ``features`` vector of hashed TF-IDF weights."""
-    return weigh(hashed_counts(docs, tokens_col), min_df)
+    return weigh(hashed_counts(docs, tokens_col, places), min_df)
 
 
 def doc_vectors(
@@ -144,12 +176,20 @@ def doc_vectors(
     text: str = "body",
     label: str = "label",
     min_df: int = IDF_MIN_DF,
+    places: int = HASH_PLACES,
+    stop_words: Sequence[str] = words.ENGLISH_STOP_WORDS,
+    stemmed: bool = True,
 ) -> DataFrame:
     """The whole text job: (key, features, label) from HTML texts and a table of labels.
 
     Texts become hashed counts before they meet their labels, so the join carries
-    counts and not texts. Weights are fitted on the labelled documents.
+    counts and not texts. Where the labelled keys fit a broadcast, texts without a label
+    are left out before any work on them. Weights are fitted on the labelled documents.
     """
+    named = checkpointed(labels.select(key, label))
+    if table_size(named)[1] <= BROADCAST_LIMIT:
+        docs = docs.join(F.broadcast(named.select(key)), key, "left_semi")
     plain = docs.select(key, strip_html(text).alias("plain"))
-    hashed = hashed_counts(token_arrays(plain, key, "plain"))
-    return weigh(hashed.join(labels.select(key, label), key), min_df).select(key, "features", label)
+    arrays = token_arrays(plain, key, "plain", stop_words, stemmed)
+    hashed = hashed_counts(arrays, places=places)
+    return weigh(hashed.join(named, key), min_df).select(key, "features", label)

@@ -17,7 +17,7 @@ lines AS (
 replies AS (
   SELECT l_orderkey, min(answer_id) AS accepted, max(l_shipdate) AS last_reply, count(*) AS n
   FROM lines GROUP BY l_orderkey),
-posts AS (
+posts AS NOT MATERIALIZED (
   SELECT o_orderkey AS id, 1 AS post_type_id, CAST(NULL AS BIGINT) AS parent_id,
          accepted AS accepted_answer_id, o_orderdate AS creation_date,
          greatest(o_orderdate, coalesce(last_reply, o_orderdate)) AS last_activity_date,
@@ -268,6 +268,32 @@ scores AS (
 predictions AS (
   SELECT id, label, CAST(arg_max(class, score) AS DOUBLE) AS prediction
   FROM scores GROUP BY id, label)"""
+_TEXT_SHARE = _SHARE.replace("|| id", "|| doc_id")
+_TEXT_BAYES = f"""
+rated AS (SELECT doc_id, quality AS label, {_TEXT_SHARE} < 0.8 AS is_train FROM labels
+          WHERE doc_id IN (SELECT doc_id FROM documents)),
+counts AS (
+  SELECT doc_id, token AS term, count(*) AS n FROM clean JOIN rated USING (doc_id) GROUP BY ALL),
+vocabulary AS (SELECT term FROM counts GROUP BY term HAVING count(*) >= 2),
+cells AS (SELECT * FROM counts JOIN vocabulary USING (term) JOIN rated USING (doc_id)),
+prior AS (
+  SELECT label AS class, ln(count(*) + 1.0::DOUBLE)
+         - ln((SELECT count(*) + count(DISTINCT label) FROM rated WHERE is_train)::DOUBLE) AS pi
+  FROM rated WHERE is_train GROUP BY label),
+held AS (SELECT label AS class, sum(n) AS held FROM cells WHERE is_train GROUP BY label),
+theta AS (
+  SELECT class, term, ln(coalesce(sum(n) FILTER (WHERE label = class AND is_train), 0) + 1.0::DOUBLE)
+         - ln(any_value(held) + (SELECT count(*) FROM vocabulary)::DOUBLE) AS theta
+  FROM cells, held GROUP BY class, term),
+scores AS (
+  SELECT r.doc_id, r.label, p.class, pi + coalesce(s, 0) AS score
+  FROM rated r CROSS JOIN prior p
+  LEFT JOIN (SELECT doc_id, class, sum(n * theta) AS s FROM cells JOIN theta USING (term)
+             GROUP BY doc_id, class) t ON t.doc_id = r.doc_id AND t.class = p.class
+  WHERE NOT is_train),
+predictions AS (
+  SELECT doc_id, label, CAST(arg_max(class, score) AS DOUBLE) AS prediction
+  FROM scores GROUP BY doc_id, label)"""
 _HISTOGRAM = """
 bounds AS (
   SELECT min(value) - CASE WHEN min(value) = max(value) THEN 0.5::DOUBLE ELSE 0 END AS low,
@@ -469,6 +495,15 @@ SELECT doc_id, CAST(generate_subscripts(parts, 1) - 1 AS INTEGER) AS pos,
             *_FEATURE_PARTS,
             select=f"SELECT {_ROUNDED}, {_TEXT_COLUMNS}, id, label FROM all_features",
         ),
+        "random_split": _with(
+            POSTS, TIMES, LABELS, select="SELECT id, label, CAST(1 AS BIGINT) AS parts FROM labelled"
+        ),
+        "predict_text_nb": _with(
+            TOKENS,
+            CLEAN,
+            _TEXT_BAYES,
+            select="SELECT doc_id, label, prediction FROM predictions",
+        ),
         "hash_split": _with(
             POSTS,
             TIMES,

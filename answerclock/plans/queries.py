@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -296,15 +295,23 @@ def tfidf(spark, sf_dir):
 
 
 def count_vectors(spark, sf_dir):
-    """The vectors, read back as (document, term, count) through the fitted vocabulary."""
-    vectors, model = texts.count_vectors(_clean_documents(spark, sf_dir))
-    terms = pa.array(model.vocabulary, pa.string())
-    places = pa.array(range(len(terms)), pa.int32())
-    names = spark.createDataFrame(pa.table({"place": places, "term": terms}))
+    """The vectors, read back as (document, term, count) through the stored vocabulary."""
+    vectors, places = texts.count_vectors(_clean_documents(spark, sf_dir), "doc_id")
     parts = F.unwrap_udt("features")
     cells = F.explode(F.arrays_zip(parts["indices"].alias("place"), parts["values"].alias("n")))
     rows = vectors.select("doc_id", cells.alias("cell")).select("doc_id", "cell.*")
-    return rows.join(names, "place").select("doc_id", "term", F.col("n").cast("int").alias("n"))
+    named = places.select(F.col("place").cast("int").alias("place"), "term")
+    return rows.join(named, "place").select("doc_id", "term", F.col("n").cast("int").alias("n"))
+
+
+def predict_text_nb(spark, sf_dir):
+    """Naive Bayes on count vectors of the labelled documents: quality of the test part."""
+    labels = table(spark, sf_dir, "labels").withColumnRenamed("quality", "label")
+    docs = _clean_documents(spark, sf_dir).join(labels.select("doc_id"), "doc_id", "left_semi")
+    vectors = texts.count_vectors(docs, "doc_id")[0].join(labels, "doc_id")
+    train, test = ml.train_test_split(ml.checkpointed(vectors), key="doc_id")
+    scored = ml.fit(train, "nb", cols=None).transform(test)
+    return scored.select("doc_id", "label", "prediction")
 
 
 def tfidf_vectors(spark, sf_dir):
@@ -328,10 +335,10 @@ def hash_split(spark, sf_dir):
 
 
 def random_split(spark, sf_dir):
+    """Every row with the number of parts that it is in, which is one."""
     train, test = ml.train_test_split(_labels(spark, sf_dir).select("id", "label"), key=None)
-    return train.withColumn("is_train", F.lit(True)).unionByName(
-        test.withColumn("is_train", F.lit(False))
-    )
+    parts = F.count(F.lit(1)).alias("parts")
+    return train.unionByName(test).groupBy("id", "label").agg(parts)
 
 
 def assembled(spark, sf_dir):
@@ -415,6 +422,7 @@ _REGISTERED = [
     count_vectors,
     tfidf_vectors,
     doc_vectors,
+    predict_text_nb,
     all_features,
     hash_split,
     random_split,

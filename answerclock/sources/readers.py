@@ -24,19 +24,34 @@ def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
 
 
 def read_posts(
-    spark: SparkSession, path: str | Sequence[str], fmt: str = "json"
+    spark: SparkSession,
+    path: str | Sequence[str],
+    fmt: str = "json",
+    mode: str = "PERMISSIVE",
+    corrupt_column: str | None = None,
 ) -> DataFrame:
     """Posts from ``json``, ``xml``, ``csv`` (header) or ``parquet``; columns as ``schemas.POSTS``.
 
+    ``mode`` is Spark's: malformed records become nulls, are dropped (``DROPMALFORMED``) or end
+    the job (``FAILFAST``). ``corrupt_column`` adds their text under that name.
+
     For repeated use of a gzip dump, write it once as Parquet (``write_posts``).
     """
-    reader = spark.read.schema(RAW_POSTS).format(fmt)
+    schema, names = RAW_POSTS, [F.col(n).alias(new) for n, (new, _) in POST_COLUMNS.items()]
+    if corrupt_column and fmt != "parquet":
+        schema = T.StructType([*schema.fields, T.StructField(corrupt_column, T.StringType())])
+        names = [*names, F.col(corrupt_column)]
+    reader = spark.read.schema(schema).format(fmt)
+    if fmt != "parquet":
+        reader = reader.option("mode", mode)
+        if corrupt_column:
+            reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
     if fmt == "xml":
         reader = reader.option("rowTag", ROW_TAG).option("attributePrefix", "_")
     if fmt == "csv":
         reader = reader.option("header", True).option("multiLine", True).option("escape", '"')
     raw = reader.load(path if isinstance(path, str) else list(path))
-    return spread(raw.select([F.col(name).alias(new) for name, (new, _) in POST_COLUMNS.items()]))
+    return spread(raw.select(names))
 
 
 def read_features(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -27,7 +27,9 @@ def lookup(spark):
 @pytest.mark.parametrize("limit", [0, 200, 10**6])
 def test_every_way_gives_the_same_rows(hot_rows, lookup, how, limit):
     plain = hot_rows.join(lookup, "key", how)
-    joined = lookups.join_lookup(hot_rows, lookup, "key", "n", how, broadcast_limit=limit)
+    joined = lookups.join_lookup(
+        hot_rows, lookup, "key", "n", how, broadcast_limit=limit, hot_share=0.1
+    )
     assert joined.columns == plain.columns
     assert rows(joined) == rows(plain)
 
@@ -38,12 +40,12 @@ def test_a_small_table_is_broadcast_whole(hot_rows, lookup):
 
 
 def test_the_hot_key_stays_out_of_the_shuffle(spark, settings, hot_rows, lookup):
-    """With room for one key only, the hot one is broadcast and the rest is shuffled."""
+    """One key has more than its share: it is broadcast and the rest is shuffled."""
     settings(
         spark__sql__autoBroadcastJoinThreshold="-1",
         spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
     )
-    joined = lookups.join_lookup(hot_rows, lookup, "key", "n", broadcast_limit=0)
+    joined = lookups.join_lookup(hot_rows, lookup, "key", "n", broadcast_limit=0, hot_share=0.1)
     plan = plan_of(joined)
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" in plan
     tasks = joined.select(F.spark_partition_id().alias("task"), "key").distinct()
@@ -52,6 +54,23 @@ def test_the_hot_key_stays_out_of_the_shuffle(spark, settings, hot_rows, lookup)
     assert len(broadcast) == 6 and not shuffled & broadcast
 
 
+def test_the_large_branch_reads_its_rows_once_and_sorts_nothing(spark, hot_rows, lookup):
+    plan = plan_of(lookups.join_lookup(hot_rows, lookup, "key", "n", broadcast_limit=0))
+    assert "TakeOrderedAndProject" not in plan
+    assert "Range (" not in plan and plan.count("Scan ExistingRDD") >= 2
+
+
+def test_a_cluster_needs_a_checkpoint_folder(monkeypatch):
+    from types import SimpleNamespace
+
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    session = SimpleNamespace(
+        sparkContext=context, conf=SimpleNamespace(get=lambda name, default: default)
+    )
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        lookups.ensure_checkpoint_dir(session)
+
+
 def test_table_size(lookup):
     assert lookups.table_size(lookup) == (42, sum(16 + len(r.key) for r in lookup.collect()))
     assert lookups.table_size(lookup.limit(0)) == (0, 0)

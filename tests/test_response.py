@@ -54,7 +54,7 @@ def test_counts_buckets_and_trend(times):
 def test_carry(make_posts):
     posts = make_posts(
         {"id": 1, "accepted_answer_id": 2, "creation_date": START, "answer_count": 9},
-        {"id": 2, "creation_date": START},
+        {"id": 2, "parent_id": 1, "creation_date": START},
     )
     assert response.response_times(posts, ["answer_count"]).first()["answer_count"] == 9
 
@@ -68,7 +68,7 @@ def test_carry(make_posts):
     ],
 )
 def test_histogram_equals_numpy(spark, values):
-    df = spark.createDataFrame([(float(v),) for v in values] + [(None,), (99.0,)], "x double")
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,), (99.0,), (float("inf"),), (float("-inf"),), (float("nan"),)], "x double")
     got = rows(response.histogram(df, "x", bins=10, maximum=25).orderBy("bin"))
     counts, edges = np.histogram([v for v in values if v <= 25], bins=10)
     assert [r[3] for r in got] == counts.tolist()

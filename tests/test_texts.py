@@ -124,10 +124,11 @@ def test_tfidf_equals_the_vector_form(arrays):
 
 
 def test_vectors(arrays, documents):
-    vectors, model = texts.count_vectors(arrays)
-    assert sorted(model.vocabulary) == ["cats", "dogs", "eat"]
+    vectors, places = texts.count_vectors(arrays, "id")
+    place = {r.term: r.place for r in places.collect()}
+    assert sorted(place) == ["cats", "dogs", "eat"] and sorted(place.values()) == [0, 1, 2]
     by_id = {r.id: r.features for r in vectors.collect()}
-    assert by_id[2][model.vocabulary.index("cats")] == 2.0 and by_id[3].numNonzeros() == 0
+    assert by_id[2][place["cats"]] == 2.0 and by_id[3].numNonzeros() == 0
     hashed = {r.id: r.features for r in texts.tfidf_vectors(arrays, min_df=1).collect()}
     assert hashed[1].numNonzeros() == 4 and hashed[4].numNonzeros() == 0
     labels = documents.filter("id > 1").select("id", F.lit(1).alias("label"))
@@ -137,6 +138,18 @@ def test_vectors(arrays, documents):
     assert sizes == {2: 3, 3: 0, 4: 0, 5: 3}
 
 
+def test_count_vectors_keep_every_term(spark):
+    """More terms than 2**18, each in two documents: no cell is lost."""
+    n, each = 270_000, 3_000
+    terms = F.transform(F.sequence(F.lit(0), F.lit(each - 1)), lambda i: F.concat(F.lit("t"), F.col("part") * each + i))
+    docs = spark.range(2 * n // each).select("id", (F.col("id") % (n // each)).alias("part"))
+    vectors, places = texts.count_vectors(docs.select("id", terms.alias("tokens")), "id")
+    assert places.count() == n
+    assert places.agg(F.max("place")).first()[0] == n - 1
+    cells = F.unwrap_udt("features")["indices"]
+    assert vectors.agg(F.sum(F.size(cells))).first()[0] == 2 * n
+
+
 def test_stems_work_where_the_package_is_missing(tmp_path):
     """The stemmer travels by value: a process without the package can run it."""
     from pyspark import cloudpickle
