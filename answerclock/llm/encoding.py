@@ -8,14 +8,17 @@ import re
 
 import numpy as np
 
-# A text may be cut before spaces, tabs and line ends that follow a visible character:
-# no token of a byte-level BPE reaches over that place. Other white space (fixed
-# values below) may join with them, so texts that have any are encoded in one piece.
-_PIECES = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
+# A text may be cut before spaces, tabs and line ends that follow a visible character, and
+# between a common letter or digit and a punctuation mark: no token of a byte-level BPE
+# reaches over such a place. Other white space (fixed values below) may join with them, so
+# texts that have any are encoded in one piece.
+_PIECES = re.compile(
+    "[ \t\n\r]*(?:[^ \t\n\r,.;:!?]*[0-9A-Za-zÀ-ÖØ-öø-ÿ](?=[,.;:!?])|[^ \t\n\r]+)|[ \t\n\r]+"
+)
 _OTHER_SPACE = re.compile(
-    "[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]"
+    r"[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 )
-MAX_PIECES = 400_000
+MAX_PIECES = 1_200_000
 
 
 class _Places(dict):
