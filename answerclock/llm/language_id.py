@@ -33,6 +33,7 @@ DIMENSIONS = 1 << 13
 CENTROIDS = 4
 ROUNDS = 10
 SAMPLE = 400
+MAX_LANGUAGES = 500  # more labels than that are refused
 FLOOR_QUANTILE = 0.01
 FLOOR_SHARE = 0.4
 UNKNOWN = "und"
@@ -184,9 +185,13 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
         held_out(key).alias("held_out"),
         F.col(key).isNull().alias("no_key"),
     ).filter("lang IS NOT NULL AND NOT held_out AND NOT no_key")
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
-    limit = F.lit(SAMPLE * (1 << 30)) / F.col("rows")
-    chosen = rows.join(counts, "lang").filter(F.col("place") < limit)
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1))).limit(MAX_LANGUAGES + 1).collect()
+    if len(counts) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages to learn")
+    limit = F.lit(0)
+    for name, n in counts:  # a condition inside the row, so texts are not shuffled by language
+        limit = F.when(F.col("lang") == name, F.lit(SAMPLE * (1 << 30) // n)).otherwise(limit)
+    chosen = rows.filter(F.col("place") < limit)
     sample = stored(chosen.select("lang", "text", "place"))
     total = sample.count()
     frequencies = map_arrow(sample.select("text"), _frequencies, "place int, texts long")
