@@ -207,11 +207,12 @@ def verified_links(tasks: DataFrame, nodes: DataFrame) -> DataFrame:
         "anchor",
         _blocks("x_nodes", "x_shingles").alias("x_blocks"),
         _blocks("k_nodes", "k_shingles").alias("k_blocks"),
-    )
-    own = F.when(F.col("x"), F.col("x_blocks")).otherwise(F.col("k_blocks"))
-    other = F.when(F.col("x"), F.col("k_blocks")).otherwise(F.col("x_blocks"))
+    ).filter("x_blocks > 1 OR k_blocks > 1")  # few: each of them has a full block
+    x_blocks, k_blocks = (F.coalesce(F.col(c), F.lit(1)) for c in ("x_blocks", "k_blocks"))
+    own = F.when(F.col("x"), x_blocks).otherwise(k_blocks)
+    other = F.when(F.col("x"), k_blocks).otherwise(x_blocks)
     dealt = (
-        tasks.join(plan, "anchor")
+        tasks.join(plan, "anchor", "left")
         .withColumn("own", F.pmod(F.xxhash64("node"), own))
         .withColumn("other", F.explode(F.sequence(F.lit(0), other - 1)))
     )
