@@ -171,11 +171,22 @@ def _readable(shapes: list[str], shape: str) -> Callable[[int], bool]:
 
 
 def _ip(cipher: Feistel, found: str) -> str | None:
-    parts = [int(x) for x in found.split(".")]
-    if max(parts) > 255:
+    """Among the addresses whose parts have as many digits."""
+    parts = found.split(".")
+    if max(map(int, parts)) > 255 or any(len(x) > 1 and x[0] == "0" for x in parts):
         return None
-    value = cipher.permuted(int.from_bytes(bytes(parts), "big"), 1 << 32, "ip")
-    return ".".join(map(str, value.to_bytes(4, "big")))
+    ranges = [(0, 10), (10, 100), (100, 256)]
+    value, size = 0, 1
+    for part in parts:
+        low, high = ranges[len(part) - 1]
+        value, size = value * (high - low) + int(part) - low, size * (high - low)
+    value = cipher.permuted(value, size, "ip" + "".join(str(len(x)) for x in parts))
+    new = []
+    for part in reversed(parts):
+        low, high = ranges[len(part) - 1]
+        value, place = divmod(value, high - low)
+        new.append(str(place + low))
+    return ".".join(reversed(new))
 
 
 def _valid_ssn(digits: str) -> bool:
