@@ -18,7 +18,8 @@ _PIECES = re.compile(
 _OTHER_SPACE = re.compile(
     r"[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 )
-MAX_PIECES = 1_200_000
+MAX_PIECES = 600_000
+BATCH = 8192  # new pieces given to the tokenizer at once; its answers are large
 
 
 class _Places(dict):
@@ -52,7 +53,11 @@ class CachedEncoder:
 
     def _learn(self) -> None:
         places, first = self._places, len(self._places) - len(self._places.new)
-        coded = [x.ids for x in self._tokenizer.encode_batch(places.new, add_special_tokens=False)]
+        coded: list[list[int]] = []
+        for a in range(0, len(places.new), BATCH):
+            some = places.new[a : a + BATCH]
+            answers = self._tokenizer.encode_batch(some, add_special_tokens=False)
+            coded += [x.ids for x in answers]
         places.new.clear()
         lengths = np.array([len(x) for x in coded], np.int64)
         needed = self._used + int(lengths.sum())
