@@ -125,7 +125,8 @@ class Slab:
     """The texts of one slab, in order of key and text, in slices of bounded size."""
 
     def __init__(self, table: pa.Table):
-        self.table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+        order = [("doc_id", "ascending"), ("text", "ascending")]
+        self.table = table.sort_by(order, null_placement="at_start")
         keys = self.table["doc_id"].combine_chunks().fill_null(_NO_KEY)
         self.keys = keys.to_numpy(zero_copy_only=False)
         self.data, self.offsets = text_bytes(self.table["text"])
