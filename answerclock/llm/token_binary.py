@@ -70,7 +70,7 @@ def _writer(path: str, end_id: int, shard_tokens: int):
         keys, lengths, ids, held = [], [], [], 0
         for batch in batches:
             offsets = text_bytes(batch.column(1))[1]
-            for a, b in slices(offsets, SLICE_BYTES):
+            for a, b in slices(offsets, min(SLICE_BYTES, shard_tokens)):
                 own, counts = coder.encode(batch.column(1)[a:b].to_pylist())
                 own = np.insert(own.astype(kind), np.cumsum(counts), end_id)
                 keys += batch.column(0)[a:b].to_pylist()
