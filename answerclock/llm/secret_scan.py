@@ -39,6 +39,8 @@ HEX = r"[0-9a-f]{16,}"
 ASSIGN_VALUE = 12
 ACCESS_LENGTH = 18
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+# Candidates with fewer symbols before their padding cannot be tested; rule lines of "=" are such.
+TESTED_SYMBOLS = 8
 
 # Cheap conditions that every text with a match fulfils.
 _ASSIGN_HINT = r"(?i:passw|secret|token|api_?key)"
@@ -167,12 +169,14 @@ def randomness(candidates: DataFrame) -> DataFrame:
     """``candidates`` (with ``value``) and their ``encoding`` and probability ``p``.
 
     Every step is a column of its own, so that it is worked out once. The square of each
-    statistic is kept between its test's bounds where a string has one symbol only.
+    statistic is kept between its test's bounds where a string has one symbol only. Strings
+    of fewer than ``TESTED_SYMBOLS`` have ``p`` 0.
     """
     value, n = F.col("value"), F.col("_n")
     rows = candidates.withColumn("_raw", F.rtrim(value, F.lit("=")))
     rows = rows.withColumn("encoding", encoding_of(F.translate("_raw", "=", "")))
-    rows = rows.withColumn("_n", F.length("_raw").cast("double"))
+    long_enough = F.length("_raw") >= TESTED_SYMBOLS
+    rows = rows.withColumn("_n", F.greatest(F.length("_raw"), F.lit(TESTED_SYMBOLS)).cast("double"))
     raw, encoding = F.col("_raw"), F.col("encoding")
     size = _by_encoding(encoding, lambda a: F.lit(float(len(a))))
     squares = _by_encoding(encoding, lambda a: _square_sum(raw, a))
@@ -213,7 +217,7 @@ def randomness(candidates: DataFrame) -> DataFrame:
 
     least = lambda p: F.greatest(F.least(p, F.lit(1.0)), F.lit(1e-30))
     half = -sum(F.log(least(p)) for p in (p_chi, p_runs, p_serial))
-    p = F.exp(-half) * (1 + half + half * half / 2)
+    p = F.when(long_enough, F.exp(-half) * (1 + half + half * half / 2)).otherwise(0.0)
     dropped = [c for c in rows.columns if c.startswith("_")]
     return rows.withColumn("p", p).drop(*dropped)
 
@@ -263,6 +267,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     )
     kept = stored(found)
     candidates = kept.select("row", F.explode("free").alias("span")).select("row", "span.*")
+    candidates = candidates.filter(F.length(F.rtrim("value", F.lit("="))) >= TESTED_SYMBOLS)
     tested = stored(
         randomness(candidates).withColumn("class", _class(F.col("encoding"), F.col("value")))
     )

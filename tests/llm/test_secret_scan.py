@@ -106,3 +106,9 @@ def test_no_python_and_empty_tables(secrets):
     plan = plan_of(scan.digest(scan.scan(secrets)))
     assert "Python" not in plan and "InArrow" not in plan
     assert scan.digest(scan.scan(secrets.limit(0))).count() == 0
+
+
+def test_padding_without_symbols_is_no_secret(spark):
+    rules = ["=" * 20, "a" + "=" * 19, "ab" + "=" * 18, "=" * 500, "=" * 19 + "a"]
+    df = spark.createDataFrame(list(enumerate(f"Title\n{r}\nbody" for r in rules)), "doc_id long, text string")
+    assert [r.random for r in scan.scan(df).collect()] == [[]] * len(rules)
