@@ -156,7 +156,7 @@ def _square_sum(value: Column, alphabet: str) -> Column:
         F.array(*[F.lit(c) for c in alphabet]),
         lambda c: F.length(value) - F.length(F.replace(value, c, F.lit(""))),
     )
-    return F.aggregate(counts, F.lit(0), lambda held, n: held + n * n)
+    return F.aggregate(counts, F.lit(0.0), lambda held, n: held + n.cast("double") * n)
 
 
 def _halves(value: Column, alphabet: str) -> Column:

@@ -112,3 +112,13 @@ def test_padding_without_symbols_is_no_secret(spark):
     rules = ["=" * 20, "a" + "=" * 19, "ab" + "=" * 18, "=" * 500, "=" * 19 + "a"]
     df = spark.createDataFrame(list(enumerate(f"Title\n{r}\nbody" for r in rules)), "doc_id long, text string")
     assert [r.random for r in scan.scan(df).collect()] == [[]] * len(rules)
+
+
+def test_very_long_strings(spark):
+    rng = random.Random(6)
+    long = base64.b64encode(rng.randbytes(300_000)).decode()
+    rows = [(0, "-" * 50_000), (1, "z" * 50_000), (2, long)]
+    df = spark.createDataFrame(rows, "doc_id long, value string")
+    got = {r.doc_id: r.p for r in scan.randomness(df).collect()}
+    assert got[0] < 1e-6 and got[1] < 1e-6
+    assert got[2] == pytest.approx(plain_p(long, scan.ENCODINGS["base64"]), abs=1e-5)
