@@ -4,7 +4,7 @@
    Under each permutation both the least and the greatest value are kept, so a
    signature of ``2 * PERMUTATIONS`` values costs ``PERMUTATIONS`` hash evaluations.
    ``BANDS`` bands of ``ROWS`` values each: a pair at similarity 0.85 shares none
-   with a probability of 6e-9.
+   with a probability of 6e-9, one at 0.8 with 5e-6.
 2. Documents with equal sets become one node, however many they are.
 3. In every bucket the least node is the centre. Each (centre, member) pair is checked
    on full sets; linked ones form components.
@@ -152,7 +152,7 @@ def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray
 LINKS = "a long, b long"
 
 
-def _checked(table: pa.Table) -> pa.Table:
+def _checked(table: pa.Table, least_percent: int) -> pa.Table:
     """Links between the ``x`` and the others of one block, one for each component linked."""
     hasher = WindowHasher(SHINGLE_WORDS, lower=True)
     unpack = zstandard.ZstdDecompressor()
@@ -177,7 +177,7 @@ def _checked(table: pa.Table) -> pa.Table:
         sizes = [np.array([len(sets[n]) for n in side]) for side in (left, right)]
         union = sizes[0][:, None] + sizes[1][None, :] - common
         roots = np.array([seen[(n, False)] for n in right])
-        for i, row in enumerate(100 * common >= LEAST_PERCENT * union):
+        for i, row in enumerate(100 * common >= least_percent * union):
             for j in np.flatnonzero(row)[np.unique(roots[row], return_index=True)[1]]:
                 if left[i] != right[j]:
                     found_a.append(left[i])
@@ -192,7 +192,7 @@ def _blocks(nodes: str, shingles: str):
     ).cast("int")
 
 
-def verified_links(tasks: DataFrame, nodes: DataFrame) -> DataFrame:
+def verified_links(tasks: DataFrame, nodes: DataFrame, least_percent: int) -> DataFrame:
     """Exact links (a, b) between the two sides of every group of ``tasks``.
 
     ``tasks``: (anchor, node, root, x, n_shingles); ``x`` tells the side. Both sides of an
@@ -221,11 +221,18 @@ def verified_links(tasks: DataFrame, nodes: DataFrame) -> DataFrame:
     )
     placed = dealt.select("anchor", "node", "root", "x", block.alias("block"))
     rows = placed.join(nodes.select("node", "set_a", "set_b", "packed"), "node")
-    return rows.groupBy("anchor", "block").applyInArrow(_checked, LINKS)
+    return rows.groupBy("anchor", "block").applyInArrow(
+        lambda table: _checked(table, least_percent), LINKS
+    )
+
 
+def near_duplicates(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", least_percent: int = LEAST_PERCENT
+) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row of ``docs``.
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row of ``docs``."""
+    Texts are linked from a similarity of ``least_percent`` on.
+    """
     source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     features = stored(map_arrow(source, _features, FEATURES))
     digest = ["set_a", "set_b"]
@@ -245,7 +252,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         "node", "n_shingles", "anchor", "anchor_n", "held", "band"
     )
     fits = F.least("n_shingles", "anchor_n") * 100 >= F.greatest("n_shingles", "anchor_n") * (
-        LEAST_PERCENT
+        least_percent
     )
     stars = stored(
         pairs.filter(fits & (F.col("node") != F.col("anchor")))
@@ -270,20 +277,23 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         F.lit(False).alias("x"),
         F.col("anchor_n").alias("n_shingles"),
     ).distinct()
-    found = stored(verified_links(members.unionByName(hubs), fetched))
+    found = stored(verified_links(members.unionByName(hubs), fetched, least_percent))
     roots = stored(components(found))
-    more = stored(verified_links(_open_tasks(shared, roots), fetched))
+    more = stored(verified_links(_open_tasks(shared, roots), fetched, least_percent))
     if not more.isEmpty():
         roots = stored(components(_contracted(more, roots).unionByName(_tree(roots))))
     return _labelled(features, classes, roots)
 
 
-def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def deduplicated(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", least_percent: int = LEAST_PERCENT
+) -> DataFrame:
     """One row of ``docs``, all columns, of each group: the one with the smallest key.
 
     Repeated rows (same key and text) stay once. Rows without a key stay, once for each text.
     """
-    kept = near_duplicates(docs, key, text).filter("kept").select(F.col("doc_id").alias(key))
+    kept = near_duplicates(docs, key, text, least_percent).filter("kept")
+    kept = kept.select(F.col("doc_id").alias(key))
     keyed = docs.join(kept.filter(F.col(key).isNotNull()).distinct(), key, "left_semi")
     keyed = keyed.select(*docs.columns).dropDuplicates([key, text])
     return keyed.unionByName(docs.filter(F.col(key).isNull()).dropDuplicates([text]))

@@ -13,6 +13,9 @@ from answerclock.llm import decontaminate, dedup_minmax, language_id, mixing, to
 from answerclock.llm.registry import END_ID, tokenizer_path
 from answerclock.operators.storage import stored
 
+# Least similarity of near duplicates, on shingles of five words.
+NEAR_PERCENT = 80
+
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised."""
@@ -21,7 +24,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest id."""
-    return dedup_minmax.deduplicated(docs)
+    return dedup_minmax.deduplicated(docs, least_percent=NEAR_PERCENT)
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
