@@ -84,3 +84,42 @@ def test_over_a_table(spark, no_docs):
         assert (got[i].text, got[i].n_spans) == (want[0], len(want[1]))
         assert not any(v in (got[i].text or "") for v in VALUES.values())
     assert pseudo.pseudonymise(no_docs, "key").count() == 0
+
+
+@pytest.mark.parametrize(
+    ("kind", "value"),
+    [("phone", p) for p in (
+        "+44 7911 123456", "+49 151 12345678", "+49 1512 34567890", "+33 6 12 34 56 78", "01 23 45 67 89",
+        "01.23.45.67.89", "07911 123456", "5551234567", "98765 43210", "+44 (0)20 7946 0958")]
+    + [("date", d) for d in ("1/2/2020", "2020/01/02", "2020-1-12", "31-12-1850", "1850-02-28", "2150-01-01", "12/31/1999")]
+    + [("ip", a) for a in ("2001:db8::8a2e:370:7334", "FE80::1", "2001:0db8:85a3:0000:0000:8a2e:0370:7334")],
+)
+def test_wider_shapes_are_replaced(kind, value):
+    new, spans = pseudo.pseudonymised(CIPHER, f"é {value}. 12 b")
+    assert spans == [(2, 2 + len(value), kind)] and new[2:-6] != value
+    assert pseudo.pseudonymised(CIPHER, new)[1] == spans
+
+
+@pytest.mark.parametrize("text", ["std::vector a::b", "at 10:20:30 on", "00:1a:2b:3c:4d:5e", "::1", "1600000000"])
+def test_other_runs_stay(text):
+    assert pseudo.pseudonymised(CIPHER, text) == (text, [])
+
+
+@pytest.mark.parametrize("after", [" BIC COBADEFF", " 2024 4111", " DE89 3704 0044 0532 0130 00"])
+def test_an_iban_ends_at_its_length(after):
+    value = VALUES["iban"]
+    new, spans = pseudo.pseudonymised(CIPHER, f"AB12 {value}{after}")
+    assert spans[0] == (5, 5 + len(value), "iban") and len(new) == 5 + len(value) + len(after)
+    assert len(spans) == (2 if "DE" in after and "BIC" not in after else 1)
+
+
+def test_equal_values_in_other_shapes_stay_linked():
+    plain = lambda x: pseudo.pseudonymised(CIPHER, x)[0]
+    digits = lambda x: re.sub(r"\D", "", plain(x))
+    assert digits("+15551234567") == digits("+1 555 123 4567") == digits("+1 (555) 123-4567")
+    assert digits("5551234567") == digits("555-123-4567")
+    assert plain("1999-12-31").split("-")[::-1] == plain("31/12/1999").split("/")
+    year, month, day = map(int, plain("2020-02-01").split("-"))
+    assert list(map(int, plain("1/2/2020").split("/"))) == [day, month, year]
+    assert plain("12/31/1999") == "/".join(plain("1999-12-31").split("-")[i] for i in (1, 2, 0))
+    assert plain("+1 555 123 4567 300 x")[15:] == " 300 x"
