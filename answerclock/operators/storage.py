@@ -35,6 +35,25 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    """``df`` written once to the shared folder, in files bucketed and sorted by ``key``.
+
+    Joins and aggregations on ``key`` then read it without a shuffle; only the other side
+    moves. The table stands in the session's catalog under a name of its own. There are no
+    fewer buckets than shuffle partitions, as Spark would else deal both sides out again.
+    """
+    spark = df.sparkSession
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    buckets = max(1, min(max(buckets, least), most))
+    path = shared_folder(spark)
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    writer = df.repartition(buckets, key).write.format("parquet").option("compression", "zstd")
+    writer.option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+    delete_at_exit(spark, path)
+    return spark.table(name)
+
+
 def numbered(df: DataFrame, *order: Column | str, name: str = "number") -> DataFrame:
     """``df`` with ``name``, 0 and up in the order of ``order``, ties in any order.
 
