@@ -13,6 +13,7 @@ from answerclock.llm import (
     mixing,
     pseudonyms,
     quality_cascade,
+    run_index,
     secret_scan,
     substring_dedup,
     token_binary,
@@ -84,6 +85,10 @@ def op10_decontamination(spark, sf_dir):
     return decontaminate.digest(decontaminate.contamination(docs, items))
 
 
+def op13_run_index(spark, sf_dir):
+    return run_index.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 _REGISTERED = [
     op1_minmax_dedup,
     op2_quality_rules,
@@ -95,6 +100,7 @@ _REGISTERED = [
     op8_token_binary,
     op9_pseudonyms,
     op10_decontamination,
+    op13_run_index,
 ]
 
 
