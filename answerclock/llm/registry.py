@@ -15,6 +15,7 @@ from answerclock.llm import (
     quality_cascade,
     run_index,
     secret_scan,
+    spelling,
     substring_dedup,
     token_binary,
     url_filter,
@@ -85,6 +86,10 @@ def op10_decontamination(spark, sf_dir):
     return decontaminate.digest(decontaminate.contamination(docs, items))
 
 
+def op12_spelling(spark, sf_dir):
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
 def op13_run_index(spark, sf_dir):
     return run_index.remove_repeats(_table(spark, sf_dir, "documents"))
 
@@ -100,6 +105,7 @@ _REGISTERED = [
     op8_token_binary,
     op9_pseudonyms,
     op10_decontamination,
+    op12_spelling,
     op13_run_index,
 ]
 
