@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from answerclock.llm import (
+    alignment,
     decontaminate,
     dedup_minmax,
     language_id,
@@ -26,6 +27,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Production parameters that are no default of the operators.
 TOKENIZER = "byte_bpe_50k.json"
+OTHER_TOKENIZER = "piece_bpe_32k.model"
 END_ID = 2
 # A key for the registered query only; a real corpus takes its own from a secret store.
 PSEUDONYM_KEY = "registered query"
@@ -86,6 +88,11 @@ def op10_decontamination(spark, sf_dir):
     return decontaminate.digest(decontaminate.contamination(docs, items))
 
 
+def op11_alignment(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    return alignment.alignment(docs, tokenizer_path(), tokenizer_path(OTHER_TOKENIZER))
+
+
 def op12_spelling(spark, sf_dir):
     return spelling.variants(_table(spark, sf_dir, "documents"))
 
@@ -105,6 +112,7 @@ _REGISTERED = [
     op8_token_binary,
     op9_pseudonyms,
     op10_decontamination,
+    op11_alignment,
     op12_spelling,
     op13_run_index,
 ]
