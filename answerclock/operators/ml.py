@@ -94,6 +94,16 @@ def fit(
     return PipelineModel([*fitted.stages, translate])
 
 
+def write_model(model: PipelineModel, path: str) -> None:
+    """A fitted model as files, in place of what was there."""
+    model.write().overwrite().save(path)
+
+
+def read_model(path: str) -> PipelineModel:
+    """A model that ``write_model`` has written; scores as the one that was fitted."""
+    return PipelineModel.load(path)
+
+
 def evaluate(predictions: DataFrame, label: str = "label") -> DataFrame:
     """One row: scored rows, right ones, accuracy."""
     right = F.col("prediction").cast("double") == F.col(label).cast("double")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from answerclock.functions.times import seconds_between
@@ -138,3 +138,42 @@ def response_trend(times: DataFrame, unit: str = "month") -> DataFrame:
             (F.col("seconds") / F.col("posts") / F.lit(3600)).alias("mean_hours"),
         )
     )
+
+
+# Calendar steps of the units.
+STEPS = {"day": "1 day", "week": "7 days", "month": "1 month", "quarter": "3 months", "year": "1 year"}
+
+
+def rolling_trend(
+    times: DataFrame, unit: str = "day", periods: int = 7, keys: Sequence[str] = ()
+) -> DataFrame:
+    """Every calendar ``unit`` from first to last with its posts, and sums over ``periods`` units.
+
+    With ``keys`` each group has a calendar of its own, from its first unit to its last. Units
+    without a post are there with zeros, and ``mean_hours`` is null where a whole span of units
+    has none. A window holds one row per unit of a group, however many posts there are.
+    ``unit`` is one of ``STEPS``. Rows without a date are left out.
+    """
+    period = F.date_trunc(unit, "creation_date").cast("timestamp_ntz").alias("period")
+    dated = times.filter(F.col("creation_date").isNotNull())
+    trend = stored(
+        dated.groupBy(*keys, period).agg(
+            F.count(F.lit(1)).alias("posts"), F.sum("response_seconds").alias("seconds")
+        )
+    )
+    bounds = trend.groupBy(*keys).agg(F.min("period").alias("low"), F.max("period").alias("high"))
+    step = F.expr(f"INTERVAL {STEPS[unit]}")
+    calendar = bounds.filter(F.col("low").isNotNull()).select(
+        *keys, F.explode(F.sequence("low", "high", step)).alias("period")
+    )
+    filled = calendar.join(trend, [*keys, "period"], "left")
+    span = Window.partitionBy(*keys).orderBy("period").rowsBetween(1 - periods, 0)
+    sums = filled.select(
+        *keys,
+        "period",
+        F.coalesce("posts", F.lit(0)).alias("posts"),
+        F.coalesce(F.sum("posts").over(span), F.lit(0)).alias("rolling_posts"),
+        F.sum("seconds").over(span).alias("_seconds"),
+    )
+    mean = F.try_divide(F.col("_seconds"), F.col("rolling_posts")) / F.lit(3600)
+    return sums.select(*keys, "period", "posts", "rolling_posts", mean.alias("mean_hours"))

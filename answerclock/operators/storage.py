@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from answerclock.operators.lookups import ensure_checkpoint_dir
 
@@ -22,8 +23,8 @@ def delete_at_exit(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read back.
+def stored(df: DataFrame, schema: T.StructType | None = None) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read back, with ``schema`` if given.
 
     Like a checkpoint it cuts the lineage and survives lost executors, but it is
     compressed, and later readers take only the columns they need.
@@ -32,7 +33,7 @@ def stored(df: DataFrame) -> DataFrame:
     path = shared_folder(spark)
     df.write.option("compression", "zstd").parquet(path)
     delete_at_exit(spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(schema or df.schema).parquet(path)
 
 
 def bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
@@ -54,6 +55,30 @@ def bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
     return spark.table(name)
 
 
+def running_totals(
+    df: DataFrame, *order: Column | str, weight: Column | str, name: str = "before"
+) -> DataFrame:
+    """``df`` with ``name``, the sum of ``weight`` over all rows before it in ``order``.
+
+    Rows are sorted by range and stored with the number of their range; only the sums per
+    range (as many as there are partitions) meet in one place. Ties come in any order, so
+    ``order`` should name each row where the weights differ.
+    """
+    part, amount = "_range", "_weight"
+    weight = F.col(weight) if isinstance(weight, str) else weight
+    ranged = df.withColumn(amount, weight.cast("long")).repartitionByRange(*order)
+    kept = stored(ranged.withColumn(part, F.spark_partition_id()))
+    sums = kept.groupBy(part).agg(F.sum(amount).alias("_sum"))
+    before = F.sum("_sum").over(Window.orderBy(part)) - F.col("_sum")
+    offsets = sums.select(part, before.alias("_before"))
+    own = Window.partitionBy(part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum(amount).over(own), F.lit(0))
+    joined = kept.withColumn("_inside", inside).join(F.broadcast(offsets), part)
+    return joined.withColumn(name, F.col("_before") + F.col("_inside")).drop(
+        part, amount, "_before", "_inside"
+    )
+
+
 def numbered(df: DataFrame, *order: Column | str, name: str = "number") -> DataFrame:
     """``df`` with ``name``, 0 and up in the order of ``order``, ties in any order.
 

@@ -9,9 +9,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import IDF, HashingTF
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from answerclock.functions import terms, words
 from answerclock.functions.text import strip_html
@@ -133,11 +134,26 @@ def count_vectors(
     cell = F.struct(F.col("place").cast("int").alias("place"), F.col("n").cast("double").alias("n"))
     cells = found.groupBy(key).agg(F.array_sort(F.collect_list(cell)).alias("cells"))
     every = docs.select(key).join(cells, key, "left")
-    to_vector = F.udf(
-        lambda places_, values: SparseVector(size, places_ or [], values or []), VectorUDT()
+    return as_vectors(every.select(key, "cells"), "cells", "place", "n", size), places
+
+
+def as_vectors(df: DataFrame, cells: str, place: str, value: str, size: int) -> DataFrame:
+    """``df`` with sparse vectors ``features`` in place of the sorted structs ``cells``.
+
+    The vector type is a struct in storage, so it is built as one, stored, and read back as
+    vectors. Null cells are an empty vector.
+    """
+    none = F.lit(0).cast("byte"), F.lit(size)
+    parts = F.struct(
+        none[0].alias("type"),
+        none[1].alias("size"),
+        F.coalesce(F.col(f"{cells}.{place}"), F.array().cast("array<int>")).alias("indices"),
+        F.coalesce(F.col(f"{cells}.{value}"), F.array().cast("array<double>")).alias("values"),
     )
-    features = to_vector(F.col("cells.place"), F.col("cells.n"))
-    return every.select(key, features.alias("features")), places
+    rest = [c for c in df.columns if c != cells]
+    rows = df.select(*rest, parts.alias("features"))
+    fields = [f for f in rows.schema.fields if f.name != "features"]
+    return stored(rows, T.StructType([*fields, T.StructField("features", VectorUDT())]))
 
 
 def hashed_counts(

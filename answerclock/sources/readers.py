@@ -74,3 +74,36 @@ def read_vectors(spark: SparkSession, path: str, schema: T.StructType = VECTORS)
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).json(path)
+
+
+def read_xml_lines(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    schema: T.StructType = RAW_POSTS,
+    row_tag: str = ROW_TAG,
+    corrupt_column: str | None = None,
+) -> DataFrame:
+    """Elements that stand on a line each, parsed line by line; raw columns as in ``schema``.
+
+    Text files are split anywhere, so a large dump is read by many tasks, where the XML reader
+    may take one per file (a compressed file stays one task). Lines that do not begin with
+    the element are left out; those that cannot be parsed become nulls, with their text in
+    ``corrupt_column`` if that is given.
+    """
+    lines = spark.read.text(path if isinstance(path, str) else list(path))
+    element = F.ltrim("value")
+    rows = lines.filter(element.rlike(rf"^<{row_tag}[\s/>]"))
+    options = {"rowTag": row_tag, "attributePrefix": "_", "mode": "PERMISSIVE"}
+    if corrupt_column:
+        schema = T.StructType([*schema.fields, T.StructField(corrupt_column, T.StringType())])
+        options["columnNameOfCorruptRecord"] = corrupt_column
+    return rows.select(F.from_xml(F.trim("value"), schema, options).alias("row")).select("row.*")
+
+
+def read_post_lines(
+    spark: SparkSession, path: str | Sequence[str], corrupt_column: str | None = None
+) -> DataFrame:
+    """``read_posts`` of an XML dump with a post on each line, by many tasks."""
+    raw = read_xml_lines(spark, path, corrupt_column=corrupt_column)
+    names = [F.col(n).alias(new) for n, (new, _) in POST_COLUMNS.items()]
+    return raw.select(*names, *([corrupt_column] if corrupt_column else []))

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from answerclock.schemas import POST_COLUMNS
+from answerclock.sources.readers import ROW_TAG
+
+ROOT_TAG = "posts"  # fixed value: the element around all posts in the XML dump
 
 
 def _parts(df: DataFrame, files: int | None) -> DataFrame:
@@ -29,12 +33,35 @@ def write_json(
     df.write.mode(mode).option("compression", compression).json(path)
 
 
+def _raw(posts: DataFrame) -> DataFrame:
+    return posts.select([F.col(new).alias(name) for name, (new, _) in POST_COLUMNS.items()])
+
+
+def _dated(raw: DataFrame) -> DataFrame:
+    """Times as ISO text, as the dump has them; XML has no type for times without a zone."""
+    times = [f.name for f in raw.schema if f.dataType == T.TimestampNTZType()]
+    return raw.withColumns({c: F.replace(F.col(c).cast("string"), F.lit(" "), F.lit("T")) for c in times})
+
+
+def write_post_lines(posts: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Posts as XML elements, one on each line, readable with ``read_post_lines``."""
+    element = F.to_xml(F.struct("*"), {"rowTag": ROW_TAG, "attributePrefix": "_", "indent": ""})
+    # Line ends inside an attribute are written as references, so that a post stays on its line.
+    line = F.trim(element)
+    for sign, reference in (("\n", "&#10;"), ("\r", "&#13;")):
+        line = F.replace(line, F.lit(sign), F.lit(reference))
+    _dated(_raw(posts)).select(line.alias("value")).write.mode(mode).text(path)
+
+
 def write_posts(
     posts: DataFrame, path: str, fmt: str = "json", mode: str = "overwrite"
 ) -> None:
     """Posts under the attribute names of the dump, readable with ``read_posts``."""
-    raw = posts.select([F.col(new).alias(name) for name, (new, _) in POST_COLUMNS.items()])
-    writer = raw.write.format(fmt).mode(mode)
+    raw = _raw(posts)
+    writer = (_dated(raw) if fmt == "xml" else raw).write.format(fmt).mode(mode)
+    if fmt == "xml":
+        writer = writer.option("rowTag", ROW_TAG).option("rootTag", ROOT_TAG)
+        writer = writer.option("attributePrefix", "_")
     if fmt == "json":
         writer = writer.option("compression", "gzip")
     if fmt == "csv":
