@@ -50,9 +50,10 @@ REGION_LIMIT = 2000
 SLICE_BYTES = 1 << 21
 BUCKET_BYTES = 32 * 1024 * 1024
 SHARD_BYTES = 8 * 1024 * 1024
-# Symbols of one index: rank, rank and place of a suffix share 64 bits.
+# Symbols of one index. Rank, rank and place of a suffix share 64 bits, which is more than
+# REGION_LIMIT regions need; smaller indexes stay in the processor's cache.
+INDEX_SYMBOLS = 1 << 18
 INDEX_BITS = 21
-SYMBOL_BITS = 9
 
 OCCURRENCE = "row long, at int, n int, anchor long, region long"
 PIECE = "shard int, anchor long, region long, copies long, bytes binary"
@@ -197,121 +198,113 @@ class SuffixOrder:
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
         lengths = np.diff(offsets)
-        self.text = np.repeat(np.arange(len(lengths)), lengths + 1)
-        self.ends = (offsets[1:] + np.arange(len(lengths)))[self.text]  # place of the terminator
-        n = len(self.text)
+        n = len(data) + len(lengths)
+        if n >= 1 << INDEX_BITS:
+            raise ValueError("too many symbols for one index")
+        self.text = np.repeat(np.arange(len(lengths), dtype=np.uint32), lengths + 1)
+        self.ends = offsets[1:] + np.arange(len(lengths))  # places of the terminators
+        self.left = (self.ends[self.text] - np.arange(n)).astype(np.int32)  # bytes of each suffix
         self.symbols = np.zeros(n, np.uint64)
-        self.symbols[np.arange(n) != self.ends] = data.astype(np.uint64) + np.uint64(1)
+        present = np.bincount(data, minlength=256) > 0
+        codes = np.cumsum(present).astype(np.uint64)  # bytes in use from 1 up, in their order
+        self.symbols[self.left > 0] = codes[data]
         self.rounds: list[tuple[int, np.ndarray]] = []
-        self._sort(n)
-
-    def _sort(self, n: int) -> None:
-        place = np.arange(n)
-        width = (64 - INDEX_BITS) // SYMBOL_BITS
-        packed = np.zeros(n, np.uint64)
-        for i in range(width):
-            at = np.minimum(place + i, n - 1)
-            here = np.where(place + i <= self.ends, self.symbols[at], np.uint64(0))
-            packed = (packed << np.uint64(SYMBOL_BITS)) | here
-        rank = np.zeros(n, np.int64)
-        tied = self._rank(place, packed, rank, np.zeros(n, np.int64))
-        while len(tied):
+        self._sort(n, max(1, int(codes[-1]).bit_length()))
+
+    def _sort(self, n: int, bits: int) -> None:
+        width = (64 - INDEX_BITS) // bits
+        packed, more = self.symbols, np.zeros(n, np.uint64)
+        for i in range(1, width):  # what follows a terminator does not count
+            more[:-1] = packed[1:]
+            more[-1] = 0
+            more[self.left == 0] = 0
+            packed = (self.symbols << np.uint64(bits * i)) | more
+        self.first_width = width
+        rank = np.empty(n, np.uint32)
+        places, slots = np.arange(n), np.arange(n, dtype=np.uint32)
+        places, slots, first = self._refine(places, slots, None, packed, rank)
+        while len(places):
             self.rounds.append((width, rank))
             rank = rank.copy()
             # A suffix that ends within ``width`` is told from its equals by its terminator.
-            beyond = tied + width
-            second = np.where(
-                beyond <= self.ends[tied],
-                self.rounds[-1][1][np.minimum(beyond, n - 1)],
-                self.text[tied],
-            )
-            tied = self._rank(tied, second.astype(np.uint64), rank, rank[tied])
+            beyond = np.minimum(places + width, n - 1)
+            before_end = self.left[places] >= width
+            second = np.where(before_end, self.rounds[-1][1][beyond], self.text[places])
+            places, slots, first = self._refine(places, slots, first, second.astype(np.uint64), rank)
             width *= 2
-        self.rank = rank
         self.order = np.empty(n, np.int64)
-        self.order[rank] = place
+        self.order[rank] = np.arange(n)
 
     @staticmethod
-    def _rank(places: np.ndarray, second: np.ndarray, rank: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """Refine ``rank`` of ``places`` by ``second`` within equal ``first``; the places still tied.
+    def _refine(places, slots, first, second, rank):
+        """Sort ``places`` by (first, second), note their ranks; the ones that are still tied.
 
-        A rank is the number of smaller suffixes, so refining one group leaves the others alone.
+        ``slots`` are the places in the suffix array that they take together; the rank of
+        equal suffixes is the first of their slots.
         """
-        if len(places) == 0:
-            return places
         bits = np.uint64(INDEX_BITS)
-        whole = int(second.max()) >> (64 - INDEX_BITS)
-        if whole or (len(rank) and int(second.max()) >= 1 << INDEX_BITS and first.any()):
-            raise ValueError("too many symbols for one index")
-        local = np.arange(len(places), dtype=np.uint64)
-        if first.any():
-            key = (first.astype(np.uint64) << (bits + bits)) | (second << bits) | local
-        else:
-            key = (second << bits) | local
+        key = (second << bits) | np.arange(len(places), dtype=np.uint64)
+        if first is not None:
+            key |= first.astype(np.uint64) << (bits + bits)
         key.sort()
-        order = (key & np.uint64((1 << INDEX_BITS) - 1)).astype(np.int64)
-        group = key >> bits
-        new = np.ones(len(key), bool)
-        new[1:] = group[1:] != group[:-1]
-        outer = first[order]
-        starts = np.flatnonzero(new)
-        outer_new = np.ones(len(key), bool)
-        outer_new[1:] = outer[1:] != outer[:-1]
-        base = np.maximum.accumulate(np.where(outer_new, np.arange(len(key)), 0))
-        own = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
-        rank[places[order]] = outer + own - base
-        sizes = np.diff(np.concatenate([starts, [len(key)]]))
-        return places[order[np.repeat(sizes > 1, sizes)]]
-
-    def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Length of the common prefix of the suffixes at ``a`` and ``b``."""
-        a, b = a.copy(), b.copy()
+        places = places[(key & np.uint64((1 << INDEX_BITS) - 1)).astype(np.int64)]
+        key >>= bits
+        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, int)
+        sizes = np.diff(np.append(starts, len(key)))
+        ranks = np.repeat(slots[starts], sizes)
+        rank[places] = ranks
+        tied = np.repeat(sizes > 1, sizes)
+        return places[tied], slots[tied], ranks[tied]
+
+    def common(self, a: np.ndarray, b: np.ndarray, least: int = 0) -> np.ndarray:
+        """Length of the common prefix of the suffixes at ``a`` and ``b``; 0 if below ``least``."""
         shared = np.zeros(len(a), np.int64)
+        chosen = np.arange(len(a))
+        for width, rank in reversed(self.rounds):
+            if width <= least:  # the widest round that all long ones are tied in
+                chosen = np.flatnonzero(rank[a] == rank[b])
+                break
+        a, b = a[chosen], b[chosen]
+        found = np.zeros(len(a), np.int64)
         last = len(self.text) - 1
         for width, rank in reversed(self.rounds):
-            fits = (a + width <= self.ends[a]) & (b + width <= self.ends[b])
+            fits = np.minimum(self.left[a], self.left[b]) >= width
             step = np.where(fits & (rank[a] == rank[b]), width, 0)
-            shared += step
+            found += step
             a, b = np.minimum(a + step, last), np.minimum(b + step, last)
-        least = self.rounds[0][0] if self.rounds else (64 - INDEX_BITS) // SYMBOL_BITS
         same = np.ones(len(a), bool)
-        for _ in range(least):
+        for _ in range(self.first_width):
             same &= (self.symbols[a] == self.symbols[b]) & (self.symbols[a] > 0)
-            shared += same
+            found += same
             a, b = np.minimum(a + same, last), np.minimum(b + same, last)
+        shared[chosen] = np.where(found >= least, found, 0)
         return shared
 
 
 class RunIndex:
-    """Runs of the Burrows-Wheeler transform of some texts, with samples at both ends of each."""
+    """Runs of the Burrows-Wheeler transform of some texts, with samples at both ends of each.
+
+    Common prefixes shorter than ``least`` are sampled as 0.
+    """
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, copies: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, copies: np.ndarray, least: int = 0):
         suffixes = SuffixOrder(data, offsets)
         order, n = suffixes.order, len(suffixes.order)
         before = suffixes.symbols[order - 1]  # the symbol before each suffix, in their order
         # No two texts' starts are one run: what precedes them is a terminator each.
         new = np.ones(n, bool)
         new[1:] = (before[1:] != before[:-1]) | (before[1:] == 0)
-        starts = np.flatnonzero(new)
-        weight = copies[suffixes.text[order]]
-        self.run_symbols = before[starts]
-        self.run_lengths = np.add.reduceat(weight, starts)  # all copies counted
-        self._sample(suffixes, starts, np.concatenate([starts[1:], [n]]) - 1)
-        self.ends, self.text, self.copies = suffixes.ends, suffixes.text, copies
-
-    def _sample(self, suffixes: SuffixOrder, first: np.ndarray, last: np.ndarray) -> None:
-        """Places at the run ends, and the common prefix with the suffix outside the run."""
-        order = suffixes.order
-        above = np.maximum(first - 1, 0)
-        below = np.minimum(last + 1, len(order) - 1)
-        self.places = np.concatenate([order[first], order[last]])
-        self.common = np.concatenate(
-            [
-                np.where(first > 0, suffixes.common(order[above], order[first]), 0),
-                np.where(last < len(order) - 1, suffixes.common(order[last], order[below]), 0),
-            ]
-        )
-        self._of_last = len(first)
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], n) - 1
+        self.run_symbols = before[first]
+        self.run_lengths = np.add.reduceat(copies[suffixes.text[order]], first)  # all copies counted
+        # Where two runs meet, the end of one and the start of the next have the same prefix.
+        meet = suffixes.common(order[last[:-1]], order[first[1:]], least)
+        self.samples = [
+            (order[first], np.concatenate([[0], meet])),
+            (order[last], np.concatenate([meet, [0]])),
+        ]
+        self.text, self.left, self.copies = suffixes.text, suffixes.left, copies
 
     def matching_statistics(self) -> np.ndarray:
         """For each place the longest prefix of its suffix that also starts anywhere else.
@@ -319,32 +312,31 @@ class RunIndex:
         From one sample to the next the match with the neighbour above (or below) keeps its
         place in the order and loses a byte at each step.
         """
-        n = len(self.ends)
+        n = len(self.text)
         place = np.arange(n)
-        best = np.zeros(n, np.int64)
-        for part in (slice(0, self._of_last), slice(self._of_last, None)):
+        best = np.where(self.copies[self.text] > 1, self.left, 0).astype(np.int64)
+        for places, common in self.samples:
+            # The last sample at or before each place; later samples have greater places.
+            held = np.zeros(n, np.int64)
+            held[places] = places
+            held = np.maximum.accumulate(held)
             reach = np.zeros(n, np.int64)
-            reach[self.places[part]] = self.places[part] + self.common[part]
-            sampled = np.zeros(n, np.int64)
-            sampled[self.places[part]] = self.places[part]
-            held = np.maximum.accumulate(sampled)  # the last sample at or before each place
+            reach[places] = places + common
             best = np.maximum(best, reach[held] - place)
-        whole = np.where(self.copies[self.text] > 1, self.ends - place, 0)
-        return np.maximum(best, whole)
+        return best
 
 
 def _index_runs(table: pa.Table) -> Iterator[tuple[int, int]]:
-    """Row ranges of whole anchors that fit one index."""
+    """Row ranges of whole anchors, of about ``INDEX_SYMBOLS`` or of one anchor."""
     anchors = table["anchor"].to_numpy()
     sizes = pc.binary_length(table["bytes"]).to_numpy() + 1
     edges = np.flatnonzero(np.diff(anchors)) + 1
     edges = np.concatenate([[0], edges, [len(anchors)]])
     sums = np.concatenate([[0], np.cumsum(sizes)])
-    limit, a = (1 << INDEX_BITS) - 1, 0
+    a = 0
     while a < len(edges) - 1:
-        b = int(np.searchsorted(sums[edges], sums[edges[a]] + limit, "right")) - 1
-        if b <= a:
-            raise ValueError("the regions of one anchor do not fit one index")
+        b = int(np.searchsorted(sums[edges], sums[edges[a]] + INDEX_SYMBOLS, "right")) - 1
+        b = max(a + 1, b)
         yield int(edges[a]), int(edges[b])
         a = b
 
@@ -356,7 +348,7 @@ def _mark(table: pa.Table) -> pa.Table:
     for a, b in _index_runs(table) if table.num_rows else ():
         part = table.slice(a, b - a)
         data, offsets = text_bytes(part["bytes"])
-        index = RunIndex(data, offsets, part["copies"].to_numpy())
+        index = RunIndex(data, offsets, part["copies"].to_numpy(), WINDOW)
         long = index.matching_statistics() >= WINDOW
         change = np.flatnonzero(np.diff(long.astype(np.int8), prepend=0, append=0)).reshape(-1, 2)
         text = index.text[change[:, 0]]
@@ -416,8 +408,10 @@ def _cut(with_text: bool):
 
 def _recurring(occurrences: DataFrame) -> DataFrame:
     """The occurrences whose anchor occurs twice or more."""
-    counts = occurrences.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    return stored(occurrences.join(counts.select("anchor"), "anchor", "left_semi"))
+    counts = occurrences.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n"))
+    # Stored, so that adaptive execution can split a hot anchor of the join.
+    again = stored(counts.filter("_n > 1").select("anchor"))
+    return stored(occurrences.join(again, "anchor", "left_semi"))
 
 
 def _distinct(occurrences: DataFrame) -> DataFrame:
@@ -460,7 +454,7 @@ def remove_repeats(
     crowded = stored(crowded.filter(F.col("_n") > region_limit).select("anchor"))
     if not crowded.isEmpty():
         listed = _with_spans(texts, found.join(crowded, "anchor", "left_semi"), "at", "n")
-        windows = _recurring(map_arrow(listed, _find_windows, OCCURRENCE))
+        windows = _recurring(stored(map_arrow(listed, _find_windows, OCCURRENCE)))
         found = found.join(crowded, "anchor", "left_anti").unionByName(windows)
         distinct = distinct.join(crowded, "anchor", "left_anti").unionByName(_distinct(windows))
     held = distinct.agg(F.coalesce(F.sum(F.col("n") + WINDOW - 1), F.lit(0))).first()[0]
