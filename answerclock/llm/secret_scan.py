@@ -10,8 +10,10 @@ combined by Fisher's sum.
 A random string passes with evenly spread probabilities, other strings pile up near 0. So in
 each class (encoding, length to a power of two) the share of other strings among those
 above a limit can be estimated from the upper half of the distribution, and the class gets
-the smallest limit of ``GRID`` at which that share is at most ``FALSE_SHARE``. Short
-strings, on which the tests have little power, thus get higher limits than long ones.
+the smallest limit of ``GRID`` at which that share is at most ``FALSE_SHARE``, else the highest.
+Short strings, on which the tests have little power, thus get higher limits than long ones. In
+a class of fewer than ``SPARSE`` candidates each test is held against a fixed level instead.
+Strings of fewer than 20 characters are no candidates.
 
 Everything is an expression inside the row of the text. Only counts per class and twentieth
 are shuffled, at most a few thousand rows. Null texts are empty and have no span. Repeated
@@ -67,6 +69,10 @@ ENCODINGS = {
 }
 
 FALSE_SHARE = 0.05
+# A class of fewer candidates has no estimate: those that pass each of the tests at LEVEL are
+# accepted, which loses a random string in at most three times LEVEL of all cases.
+SPARSE = 20
+LEVEL = 0.02
 BINS = 20
 GRID = tuple(i / BINS for i in range(BINS // 2 + 1))
 
@@ -124,102 +130,103 @@ def base_spans(text: Column) -> dict[str, Column]:
     }
 
 
-def normal_tail(z: Column) -> Column:
-    """P(Z > z) of the standard normal, to about 1e-7 (a published polynomial)."""
-    t = 1 / (1 + 0.2316419 * F.abs(z))
-    series = F.lit(1.330274429)
-    for c in (-1.821255978, 1.781477937, -0.356563782, 0.319381530):
-        series = series * t + c
-    tail = F.exp(-z * z / 2) / 2.5066282746310002 * series * t
-    return F.when(z >= 0, tail).otherwise(1 - tail)
+def _tails(z: dict[str, Column]) -> list[dict[str, Column]]:
+    """Columns, step by step, of P(Z > z) of the standard normal for each named ``z``.
 
-
-def encoding_of(value: Column) -> Column:
-    """Name of the smallest alphabet that holds all characters of ``value``."""
-    found = F.lit("any")
-    for name in reversed(list(ENCODINGS)[:-1]):
-        rest = F.translate(value, ENCODINGS[name], "")
-        found = F.when(F.length(rest) == 0, F.lit(name)).otherwise(found)
-    return found
-
-
-def _by_encoding(encoding: Column, of: Callable[[str], Column]) -> Column:
-    cases = None
-    for name, alphabet in ENCODINGS.items():
-        here = encoding == name
-        cases = F.when(here, of(alphabet)) if cases is None else cases.when(here, of(alphabet))
-    return cases
-
-
-def _square_sum(value: Column, alphabet: str) -> Column:
-    counts = F.transform(
-        F.array(*[F.lit(c) for c in alphabet]),
-        lambda c: F.length(value) - F.length(F.replace(value, c, F.lit(""))),
-    )
-    return F.aggregate(counts, F.lit(0.0), lambda held, n: held + n.cast("double") * n)
-
-
-def _halves(value: Column, alphabet: str) -> Column:
-    """``value`` with 0 for the lower and 1 for the upper half of the alphabet."""
-    middle = len(alphabet) // 2
-    return F.translate(value, alphabet, "0" * middle + "1" * (len(alphabet) - middle))
+    Good to about 1e-7 (a published polynomial). What a step uses more than once is a column
+    of the step before, so that no expression is spelled out twice.
+    """
+    terms, series, tails = {}, {}, {}
+    for name in z:
+        terms[f"_t_{name}"] = 1 / (1 + 0.2316419 * F.abs(f"_z_{name}"))
+        t = F.col(f"_t_{name}")
+        value = F.lit(1.330274429)
+        for c in (-1.821255978, 1.781477937, -0.356563782, 0.319381530):
+            value = value * t + c
+        at = F.col(f"_z_{name}")
+        series[f"_tail_{name}"] = F.exp(-at * at / 2) / 2.5066282746310002 * value * t
+        tail = F.col(f"_tail_{name}")
+        tails[f"_p_{name}"] = F.when(at >= 0, tail).otherwise(1 - tail)
+    return [{f"_z_{name}": column for name, column in z.items()}, terms, series, tails]
 
 
 def randomness(candidates: DataFrame) -> DataFrame:
-    """``candidates`` (with ``value``) and their ``encoding`` and probability ``p``.
+    """``candidates`` (with ``value``), their ``encoding``, probability ``p`` and ``p_least``.
 
-    Every step is a column of its own, so that it is worked out once. The square of each
-    statistic is kept between its test's bounds where a string has one symbol only. Strings
-    of fewer than ``TESTED_SYMBOLS`` have ``p`` 0.
+    ``p_least`` is the least of the three tests. The alphabet is a column, taken from
+    ``ENCODINGS`` by the number of the encoding, so that every test is one expression for
+    all of them. Strings of one symbol only have a square sum that no test divides by; those
+    of fewer than ``TESTED_SYMBOLS`` have probabilities of 0.
     """
-    value, n = F.col("value"), F.col("_n")
-    rows = candidates.withColumn("_raw", F.rtrim(value, F.lit("=")))
-    rows = rows.withColumn("encoding", encoding_of(F.translate("_raw", "=", "")))
-    long_enough = F.length("_raw") >= TESTED_SYMBOLS
-    rows = rows.withColumn("_n", F.greatest(F.length("_raw"), F.lit(TESTED_SYMBOLS)).cast("double"))
-    raw, encoding = F.col("_raw"), F.col("encoding")
-    size = _by_encoding(encoding, lambda a: F.lit(float(len(a))))
-    squares = _by_encoding(encoding, lambda a: _square_sum(raw, a))
-    codes = _by_encoding(
-        encoding,
-        lambda a: F.transform(
-            F.split(raw, ""), lambda c: F.greatest(F.instr(F.lit(a), c) - 1, F.lit(0))
-        ),
+    raw, alphabet, n, m = F.col("_raw"), F.col("_alphabet"), F.col("_n"), F.col("_m")
+    alphabets = F.array(*[F.lit(a) for a in ENCODINGS.values()])
+    names = F.array(*[F.lit(name) for name in ENCODINGS])
+    holds = F.transform(
+        alphabets, lambda a: F.length(F.call_function("translate", raw, a, F.lit(""))) == 0
+    )
+    middle = F.floor(m / 2).cast("int")
+    digits = F.concat(F.repeat(F.lit("0"), middle), F.repeat(F.lit("1"), m.cast("int") - middle))
+    counts = F.transform(
+        F.split(alphabet, ""), lambda c: F.length(raw) - F.length(F.replace(raw, c, F.lit("")))
     )
-    rows = rows.withColumns({"_m": size, "_squares": squares, "_codes": codes}).withColumn(
-        "_halves", _by_encoding(encoding, lambda a: _halves(raw, a))
+    squares = F.aggregate(counts, F.lit(0.0), lambda held, x: held + x.cast("double") * x)
+    codes = F.transform(
+        F.split(raw, ""), lambda c: F.greatest(F.instr(alphabet, c) - 1, F.lit(0))
     )
-    m, halves = F.col("_m"), F.col("_halves")
-    chi = m / n * F.col("_squares") - n
-    free = m - 1
-    cube = F.pow(F.greatest(chi, F.lit(0.0)) / free, F.lit(1 / 3))
-    p_chi = normal_tail((cube - (1 - 2 / (9 * free))) / F.sqrt(2 / (9 * free)))
-
+    halves, plain = F.col("_halves"), F.col("_codes")
     ones = F.length(F.translate(halves, "0", "")).cast("double")
-    zeros = n - ones
     changes = sum(
         (F.length(halves) - F.length(F.replace(halves, F.lit(x), F.lit("")))) / 2
         for x in ("01", "10")
     )
-    expected = 1 + 2 * ones * zeros / n
-    spread = (expected - 1) * (expected - 2) / (n - 1)
-    z_runs = F.when(spread > 0, (changes + 1 - expected) / F.sqrt(spread)).otherwise(F.sqrt(n))
-    p_runs = 2 * normal_tail(F.abs(z_runs))
-
-    plain = F.col("_codes")
-    mean = F.aggregate(plain, F.lit(0.0), lambda held, x: held + x) / n
-    power = F.aggregate(plain, F.lit(0.0), lambda held, x: held + x * x) - n * F.col("_mean") ** 2
-    pairs = F.transform(plain, lambda x, i: (x - F.col("_mean")) * (F.get(plain, i + 1) - F.col("_mean")))
-    product = F.aggregate(pairs, F.lit(0.0), lambda held, x: held + F.coalesce(x, F.lit(0.0)))
-    rows = rows.withColumn("_mean", mean).withColumns({"_power": power, "_product": product})
+    mean, expected, spread = F.col("_mean"), F.col("_expected"), F.col("_spread")
+    pairs = F.transform(plain, lambda x, i: (x - mean) * (F.get(plain, i + 1) - mean))
+    z_runs = F.when(spread > 0, (F.col("_changes") + 1 - expected) / F.sqrt(spread))
     share = F.when(F.col("_power") > 0, F.col("_product") / F.col("_power")).otherwise(1.0)
-    p_serial = 2 * normal_tail(F.abs(share * F.sqrt(n)))
-
+    free, cube = m - 1, F.col("_cube")
+    width = 2 / (9 * free)
+    z = {
+        "chi": (cube - (1 - width)) / F.sqrt(width),
+        "runs": F.abs(z_runs),
+        "serial": F.abs(share * F.sqrt(n)),
+    }
     least = lambda p: F.greatest(F.least(p, F.lit(1.0)), F.lit(1e-30))
-    half = -sum(F.log(least(p)) for p in (p_chi, p_runs, p_serial))
-    p = F.when(long_enough, F.exp(-half) * (1 + half + half * half / 2)).otherwise(0.0)
-    dropped = [c for c in rows.columns if c.startswith("_")]
-    return rows.withColumn("p", p).drop(*dropped)
+    each = [F.col("_p_chi"), 2 * F.col("_p_runs"), 2 * F.col("_p_serial")]
+    half = F.col("_half")
+    total = F.exp(-half) * (1 + half + half * half / 2)
+    tested = lambda p: F.when(F.col("_length") >= TESTED_SYMBOLS, p).otherwise(0.0)
+    steps = [
+        {"_padded": F.rtrim(F.col("value"), F.lit("="))},
+        {"_raw": F.translate("_padded", "=", ""), "_length": F.length("_padded")},
+        {"_number": F.coalesce(F.nullif(F.array_position(holds, True), F.lit(0)), F.size(names))},
+        {
+            "encoding": F.element_at(names, F.col("_number").cast("int")),
+            "_alphabet": F.element_at(alphabets, F.col("_number").cast("int")),
+            "_raw": F.col("_padded"),
+            "_n": F.greatest("_length", F.lit(TESTED_SYMBOLS)).cast("double"),
+        },
+        {"_m": F.length("_alphabet").cast("double"), "_codes": codes, "_squares": squares},
+        {"_halves": F.call_function("translate", raw, alphabet, digits)},
+        {"_ones": ones, "_changes": changes},
+        {"_mean": F.aggregate(plain, F.lit(0.0), lambda held, x: held + x) / n},
+        {
+            "_expected": 1 + 2 * F.col("_ones") * (n - F.col("_ones")) / n,
+            "_power": F.aggregate(plain, F.lit(0.0), lambda held, x: held + x * x) - n * mean**2,
+            "_product": F.aggregate(
+                pairs, F.lit(0.0), lambda held, x: held + F.coalesce(x, F.lit(0.0))
+            ),
+            "_cube": F.pow(F.greatest(m / n * F.col("_squares") - n, F.lit(0.0)) / free, F.lit(1 / 3)),
+        },
+        {"_spread": (expected - 1) * (expected - 2) / (n - 1)},
+        *_tails(z | {"runs": F.coalesce(z["runs"], F.sqrt(n))}),
+        {f"_each_{i}": least(p) for i, p in enumerate(each)},
+        {"_half": -sum(F.log(f"_each_{i}") for i in range(3))},
+        {"p": tested(total), "p_least": tested(F.least(*[F.col(f"_each_{i}") for i in range(3)]))},
+    ]
+    rows = candidates
+    for step in steps:
+        rows = rows.withColumns(step)
+    return rows.drop(*[c for c in rows.columns if c.startswith("_") and c not in candidates.columns])
 
 
 def _class(encoding: Column, value: Column) -> Column:
@@ -227,7 +234,10 @@ def _class(encoding: Column, value: Column) -> Column:
 
 
 def class_limits(tested: DataFrame) -> DataFrame:
-    """(class, limit): the least probability at which a candidate of the class is accepted."""
+    """(class, limit): the least probability at which a candidate of the class is accepted.
+
+    Null for classes of fewer than ``SPARSE`` candidates, from which no share can be estimated.
+    """
     place = F.least(F.floor(F.col("p") * BINS), F.lit(BINS - 1)).cast("int")
     counts = tested.groupBy("class", place.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     above = [F.sum(F.when(F.col("bin") >= i, F.col("n")).otherwise(0)) for i in range(BINS // 2 + 1)]
@@ -238,7 +248,15 @@ def class_limits(tested: DataFrame) -> DataFrame:
         accepted = F.col(f"above_{i}")
         good = accepted - F.least(random, accepted) <= FALSE_SHARE * accepted
         limit = F.when(good, F.lit(GRID[i])).otherwise(limit)
-    return sums.select("class", limit.alias("limit"))
+    known = F.when(F.col("above_0") >= SPARSE, limit)
+    return sums.select("class", known.alias("limit"))
+
+
+def accepted(tested: DataFrame) -> DataFrame:
+    """The candidates at or above the limit of their class, or that pass every test by itself."""
+    limits = F.broadcast(class_limits(tested))  # a few hundred classes at most
+    good = F.coalesce(F.col("p") >= F.col("limit"), F.col("p_least") >= LEVEL)
+    return tested.join(limits, "class").filter(good)
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -268,12 +286,9 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     kept = stored(found)
     candidates = kept.select("row", F.explode("free").alias("span")).select("row", "span.*")
     candidates = candidates.filter(F.length(F.rtrim("value", F.lit("="))) >= TESTED_SYMBOLS)
-    tested = stored(
-        randomness(candidates).withColumn("class", _class(F.col("encoding"), F.col("value")))
-    )
-    limits = F.broadcast(class_limits(tested))  # a few hundred classes at most
-    passed = tested.join(limits, "class").filter("p >= limit")
-    extra = passed.groupBy("row").agg(
+    tested = randomness(stored(candidates))
+    tested = stored(tested.withColumn("class", _class(F.col("encoding"), F.col("value"))))
+    extra = accepted(tested).groupBy("row").agg(
         F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("random")
     )
     plain = F.array_sort(

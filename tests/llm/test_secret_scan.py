@@ -122,3 +122,96 @@ def test_very_long_strings(spark):
     got = {r.doc_id: r.p for r in scan.randomness(df).collect()}
     assert got[0] < 1e-6 and got[1] < 1e-6
     assert got[2] == pytest.approx(plain_p(long, scan.ENCODINGS["base64"]), abs=1e-5)
+
+
+def plain_limit(ps):
+    """The limit of one class, from its probabilities."""
+    if len(ps) < scan.SPARSE:
+        return None
+    upper = sum(p >= 0.5 for p in ps)
+    for limit in scan.GRID:
+        n = sum(int(p * scan.BINS) >= round(limit * scan.BINS) for p in ps)
+        if n - min(2 * upper * (1 - limit), n) <= scan.FALSE_SHARE * n:
+            return limit
+    return scan.GRID[-1]
+
+
+def plain_encoding(value):
+    raw = value.rstrip("=").replace("=", "")
+    return next((name for name, a in scan.ENCODINGS.items() if set(raw) <= set(a)), "any")
+
+
+def test_limits_and_random_spans_equal_plain_python(secrets):
+    texts = {r.doc_id: r.text or "" for r in secrets.collect()}
+    found, classes = [], {}
+    for i, text in texts.items():
+        own = base(text)
+        for m in re.finditer(scan.CANDIDATE, text):
+            raw = m[0].rstrip("=")
+            if len(raw) < scan.TESTED_SYMBOLS or any(a < m.end() and m.start() < b for a, _, b in own):
+                continue
+            name = plain_encoding(m[0])
+            p, each = plain_tests(raw, scan.ENCODINGS[name])
+            kind = (name, int(math.log2(len(m[0]))))
+            found.append((i, m.start(), m.end(), p, min(each), kind))
+            classes.setdefault(kind, []).append(p)
+    limits = {kind: plain_limit(ps) for kind, ps in classes.items()}
+    want = {i: [] for i in texts}
+    unsure = set()
+    for i, a, b, p, least, kind in found:
+        limit = limits[kind]
+        if p >= limit if limit is not None else least >= scan.LEVEL:
+            want[i].append((a, 3, b))
+        if limit and abs(p - limit) < 1e-5:
+            unsure.add(i)
+    got = {r.doc_id: [tuple(s) for s in r.random] for r in scan.scan(secrets).collect()}
+    assert {i: s for i, s in got.items() if i not in unsure} == {i: s for i, s in want.items() if i not in unsure}
+    assert any(limit is None for limit in limits.values()) and len(unsure) < 3
+
+
+def plain_tests(value, alphabet):
+    n, m = len(value), len(alphabet)
+    codes = [max(alphabet.find(c), 0) for c in value]
+    tail = lambda z: math.erfc(z / math.sqrt(2)) / 2
+    chi = m / n * sum(value.count(c) ** 2 for c in alphabet) - n
+    k = m - 1
+    each = [tail(((max(chi, 0) / k) ** (1 / 3) - (1 - 2 / (9 * k))) / math.sqrt(2 / (9 * k)))]
+    half = [str(int(alphabet.find(c) >= m // 2)) if c in alphabet else c for c in value]
+    ones = n - half.count("0")
+    mean = 1 + 2 * ones * (n - ones) / n
+    spread = (mean - 1) * (mean - 2) / (n - 1)
+    runs = 1 + "".join(half).count("01") + "".join(half).count("10")
+    each.append(2 * tail(abs((runs - mean) / math.sqrt(spread))) if spread > 0 else 2 * tail(math.sqrt(n)))
+    centre = sum(codes) / n
+    power = sum((c - centre) ** 2 for c in codes)
+    share = sum((a - centre) * (b - centre) for a, b in zip(codes, codes[1:])) / power if power else 1
+    each.append(2 * tail(abs(share * math.sqrt(n))))
+    each = [max(min(x, 1), 1e-30) for x in each]
+    h = -sum(map(math.log, each))
+    return math.exp(-h) * (1 + h + h * h / 2), each
+
+
+@pytest.mark.parametrize("size", [1, 3, 10])
+def test_few_random_strings_of_a_class_are_found(spark, size):
+    """Strings of every alphabet and several lengths, ``size`` of each class in one corpus."""
+    rng = random.Random(size)
+    values = [
+        "".join(rng.choices(a, k=n))
+        for name, a in scan.ENCODINGS.items()
+        if name not in ("hex_lower", "decimal")  # these are base spans
+        for n in (24, 40, 80, 170, 320)
+        for _ in range(size)
+    ]
+    df = spark.createDataFrame([(i, f"x {v} y") for i, v in enumerate(values)], "doc_id long, text string")
+    found = [bool(r.random) for r in scan.scan(df).collect()]
+    assert sum(found) >= 0.9 * len(found)
+    others = ["_".join(rng.choices(["value", "of", "the", "name"], k=k)) for k in (6, 12, 24, 48)]
+    others += ["abcdefghij" * k for k in (3, 6, 12)] + ["A1" * k for k in (12, 30)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(others)], "doc_id long, text string")
+    assert not any(r.random for r in scan.scan(df).collect())
+
+
+def test_the_plan_of_the_battery_stays_small(spark):
+    df = spark.createDataFrame([("a" * 30,)], "value string")
+    plan = scan.randomness(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 30_000
