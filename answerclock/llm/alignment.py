@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from answerclock.llm.batches import slices, text_bytes
 from answerclock.llm.cluster import map_arrow, ship
+from answerclock.llm.encoding import LOT, EachAlone
 from answerclock.operators.lookups import join_lookup
 from answerclock.operators.storage import stored
 
@@ -52,6 +53,7 @@ ALIGNED = (
 DIGEST = ("n_a", "n_b", "n_groups", "n_links")
 
 _SPACE_AFTER_SPACE = re.compile(r"[^\S ] |  |^ ")
+_WORD = re.compile(r"[^\s▁]+")
 _CUT = re.compile(r"(?<=\S)(?= )")
 
 
@@ -104,12 +106,10 @@ class Flat:
         self.values, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.starts = np.zeros(0, np.int64)
 
-    def add(self, lists: list[list[int]]) -> None:
-        own = np.array([len(x) for x in lists], np.int64)
-        flat = np.fromiter((v for x in lists for v in x), np.int64, int(own.sum()))
-        self.starts = np.concatenate([self.starts, len(self.values) + np.cumsum(own) - own])
-        self.values = np.concatenate([self.values, flat])
-        self.lengths = np.concatenate([self.lengths, own])
+    def add(self, values: np.ndarray, lengths: np.ndarray) -> None:
+        self.starts = np.concatenate([self.starts, len(self.values) + np.cumsum(lengths) - lengths])
+        self.values = np.concatenate([self.values, values])
+        self.lengths = np.concatenate([self.lengths, lengths])
 
     def of(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(values of all ``places`` on end, number of each)."""
@@ -119,23 +119,7 @@ class Flat:
         return self.values[np.repeat(self.starts[places] - ends + n, n) + np.arange(total)], n
 
 
-def groups_of(a: list[int], b: list[int], length_a, length_b) -> list[tuple[tuple, tuple]]:
-    """Ids of A and B of each group; both lists spell the same bytes."""
-    found, i, j, first_a, first_b, end_a, end_b = [], 0, 0, 0, 0, 0, 0
-    while i < len(a) or j < len(b):
-        if end_a <= end_b:
-            end_a += length_a[a[i]]
-            i += 1
-        else:
-            end_b += length_b[b[j]]
-            j += 1
-        if end_a == end_b:
-            found.append((tuple(a[first_a:i]), tuple(b[first_b:j])))
-            first_a, first_b = i, j
-    return found
-
-
-def links_of(a: tuple, b: tuple, length_a, length_b) -> list[tuple[int, int]]:
+def links_of(a: list[int], b: list[int], length_a, length_b) -> list[tuple[int, int]]:
     """All pairs of overlapping tokens of one group."""
     found, i, j = [], 0, 0
     end_a, end_b = length_a[a[0]], length_b[b[0]]
@@ -151,6 +135,41 @@ def links_of(a: tuple, b: tuple, length_a, length_b) -> list[tuple[int, int]]:
             end_b += length_b[b[j]]
 
 
+class PiecesAlone:
+    """Ids in B of many units, each as if it stood alone after its space.
+
+    Words without white space are joined by spaces: each begins with a piece that has a space,
+    and no other piece of it has one.
+    """
+
+    def __init__(self, processor):
+        self._processor = processor
+        pieces = (processor.id_to_piece(i) for i in range(processor.vocab_size()))
+        self._begins = np.array([p.startswith("▁") for p in pieces])
+        self._space = [processor.piece_to_id("▁")]
+
+    def __call__(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all ``units`` on end, number of each)."""
+        is_word = np.fromiter((bool(_WORD.fullmatch(u)) for u in units), bool, len(units))
+        words = [u for u, good in zip(units, is_word.tolist(), strict=True) if good]
+        lots = [" ".join(words[a : a + LOT]) for a in range(0, len(words), LOT)]
+        joined = np.array([i for x in self._processor.encode(lots, num_threads=1) for i in x], np.int64)
+        starts = np.flatnonzero(self._begins[joined])
+        if len(starts) != len(words):
+            raise ValueError("the pieces do not begin each word with a space")
+        others = [u for u, good in zip(units, is_word.tolist(), strict=True) if not good]
+        coded = self._processor.encode(others, num_threads=1) if others else []
+        coded = [ids if unit else self._space for ids, unit in zip(coded, others, strict=True)]
+        lengths = np.zeros(len(units), np.int64)
+        lengths[is_word] = np.diff(np.append(starts, len(joined)))
+        lengths[~is_word] = [len(ids) for ids in coded]
+        ids = np.zeros(int(lengths.sum()), np.int64)
+        of_word = np.repeat(is_word, lengths)
+        ids[of_word] = joined
+        ids[~of_word] = [i for x in coded for i in x]
+        return ids, lengths
+
+
 class Aligner:
     """Units of text with their groups, kept between batches; the rare half goes when it is full."""
 
@@ -159,25 +178,26 @@ class Aligner:
         import sentencepiece
         from tokenizers import Tokenizer
 
-        self._a = Tokenizer.from_file(path_a)
-        self._a.encode_special_tokens = True
-        self._b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        self.bytes_a, self.bytes_b = token_bytes_a(self._a), token_bytes_b(self._b)
+        a = Tokenizer.from_file(path_a)
+        a.encode_special_tokens = True
+        b = sentencepiece.SentencePieceProcessor(model_file=path_b)
+        self._each_a, self._each_b = EachAlone(a), PiecesAlone(b)
+        self.bytes_a, self.bytes_b = token_bytes_a(a), token_bytes_b(b)
         self._length_a = [len(x or b"") for x in self.bytes_a]
         self._length_b = [len(x or b"") for x in self.bytes_b]
+        self._lengths_a, self._lengths_b = np.array(self._length_a), np.array(self._length_b)
         self.size_a, self.size_b = len(self.bytes_a), len(self.bytes_b)
-        self._space = [self._b.piece_to_id("▁")]
-        pieces = (self._b.id_to_piece(i) for i in range(self.size_b))
+        pieces = (b.id_to_piece(i) for i in range(self.size_b))
         self._cuts = not any(re.search("[^▁]▁", p) for p in pieces)
-        self.identity = self._identity()
+        self.identity = self._identity(b)
         self.units, self.uses = _Units(), np.zeros(0, np.int64)
         self._empty_groups()
         self._empty_units()
 
-    def _identity(self) -> np.ndarray:
+    def _identity(self, b) -> np.ndarray:
         """The B id with the bytes of each A id, or -1; whole pieces go before single bytes."""
         by_bytes: dict[bytes, int] = {}
-        for i in sorted(range(self.size_b), key=self._b.is_byte, reverse=True):
+        for i in sorted(range(self.size_b), key=b.is_byte, reverse=True):
             if self.bytes_b[i] is not None:
                 by_bytes[self.bytes_b[i]] = i
         return np.array([by_bytes.get(x, -1) for x in self.bytes_a], np.int64)
@@ -193,19 +213,30 @@ class Aligner:
         self.regular, self.irregular = Flat(), Flat()
 
     def trim(self) -> None:
-        """Keep the more frequent half of the units if there are too many; call between tasks."""
+        """Keep the more frequent half of the units if there are too many; call between tasks.
+
+        Groups are numbered anew, as those of dropped units go too.
+        """
         if len(self.units) <= MAX_UNITS:
             return
-        names = list(self.units)
         kept = np.argsort(-self.uses, kind="stable")[: MAX_UNITS // 2]
-        uses = self.uses[kept]
-        self.units, self.uses = _Units(), np.zeros(0, np.int64)
+        names, parts, numbers, uses = list(self.units), self.parts, self.numbers[kept], self.uses[kept]
+        regular, irregular = self.regular.of(kept), self.irregular.of(kept)
+        group_names, group_pairs = self.group_names, self.group_pairs
+        self.units = _Units()
         self._empty_groups()
         self._empty_units()
         for i in kept.tolist():
             self.units[names[i]]
-        self.learn()
-        self.uses = uses // 2
+        self.units.new.clear()
+        groups, again = np.unique(irregular[0], return_inverse=True)
+        self.group_names = [group_names[g] for g in groups.tolist()]
+        self.group_pairs = [group_pairs[g] for g in groups.tolist()]
+        self.group_places = {name: i for i, name in enumerate(self.group_names)}
+        self.parts = [parts[i] for i in kept.tolist()]
+        self.numbers, self.uses = numbers, uses // 2
+        self.regular.add(*regular)
+        self.irregular.add(again.astype(np.int64), irregular[1])
 
     def units_of(self, text: str) -> list[str]:
         """The units of space + text, each without its first space."""
@@ -219,46 +250,63 @@ class Aligner:
         new, self.units.new = self.units.new, []
         for at in range(0, len(new), LEARN):
             some = new[at : at + LEARN]
-            ids_a = [x.ids for x in self._a.encode_batch([" " + u for u in some], add_special_tokens=False)]
-            ids_b = self._b.encode(some, num_threads=1)
-            self._note(some, ids_a, ids_b)
+            ids_a, n_a = self._each_a([" " + u for u in some])
+            ids_b, n_b = self._each_b(some)
+            spelt = self._spelt(some, ids_a, n_a, ids_b, n_b)
+            if not spelt.all():
+                ids_a, ids_b = ids_a[np.repeat(spelt, n_a)], ids_b[np.repeat(spelt, n_b)]
+                n_a, n_b = np.where(spelt, n_a, 0), np.where(spelt, n_b, 0)
+            self._note(spelt, ids_a.astype(np.int64), n_a, ids_b, n_b)
         self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int64)])
 
-    def _note(self, units, ids_a, ids_b) -> None:
-        numbers, regular, irregular = [], [], []
-        for unit, a, b in zip(units, ids_a, ids_b, strict=True):
-            b = b if unit else self._space
-            spelt = (" " + unit).encode()
-            spelt_a = b"".join([self.bytes_a[i] or b"" for i in a])
-            spelt_b = b"".join([self.bytes_b[i] or b"" for i in b])
-            own, others, links = [], [], 0
-            if spelt_a != spelt or spelt_b != spelt:
-                numbers.append((0, 0, 0, 0, 1))
-                self.parts.append("")
-            else:
-                names = []
-                groups = groups_of(a, b, self._length_a, self._length_b)
-                for x, y in groups:
-                    if len(x) == 1 and len(y) == 1:
-                        name = f"{x[0]}|{y[0]}"
-                        links += 1
-                    else:
-                        name = f"{','.join(map(str, x))}|{','.join(map(str, y))}"
-                        links += len(x) + len(y) - 1
-                    if len(x) == 1 and len(y) == 1 and self.identity[x[0]] == y[0]:
-                        own.append(x[0])
-                    else:
-                        others.append(self._group(name, x, y))
-                    names.append(name)
-                numbers.append((len(a), len(b), len(groups), links, 0))
-                self.parts.append(";".join(names))
-            regular.append(own)
-            irregular.append(others)
-        self.numbers = np.concatenate([self.numbers, np.array(numbers, np.int64).reshape(-1, 5)])
-        self.regular.add(regular)
-        self.irregular.add(irregular)
-
-    def _group(self, name: str, a: tuple, b: tuple) -> int:
+    def _spelt(self, units, ids_a, n_a, ids_b, n_b) -> np.ndarray:
+        """Whether the tokens of each unit spell it, on both sides."""
+        want = [(" " + u).encode() for u in units]
+        sizes = np.array([len(w) for w in want])
+        good = np.ones(len(units), bool)
+        for ids, n, names, lengths in (
+            (ids_a, n_a, self.bytes_a, self._lengths_a),
+            (ids_b, n_b, self.bytes_b, self._lengths_b),
+        ):
+            have = [names[i] or b"" for i in ids.tolist()]
+            ends = np.concatenate([[0], np.cumsum(n)])
+            sums = np.concatenate([[0], np.cumsum(lengths[ids])])
+            if (np.diff(sums[ends]) == sizes).all() and b"".join(have) == b"".join(want):
+                continue
+            cuts = ends.tolist()
+            good &= np.array([b"".join(have[a:b]) == w for a, b, w in zip(cuts, cuts[1:], want)])
+        return good
+
+    def _note(self, spelt, ids_a, n_a, ids_b, n_b) -> None:
+        """Cut the tokens of some units into groups, all at once; units end groups, too."""
+        end_a, end_b = np.cumsum(self._lengths_a[ids_a]), np.cumsum(self._lengths_b[ids_b])
+        at_b = np.searchsorted(end_b, end_a)
+        last_a = np.flatnonzero(end_b[at_b] == end_a) if len(end_a) else np.empty(0, np.int64)
+        last_b = at_b[last_a]
+        size_a, size_b = np.diff(last_a, prepend=-1), np.diff(last_b, prepend=-1)
+        unit = np.searchsorted(np.cumsum(n_a), last_a, "right")
+        one = (size_a == 1) & (size_b == 1)
+        regular = one & (self.identity[ids_a[last_a]] == ids_b[last_b])
+        flat_a, flat_b = ids_a.tolist(), ids_b.tolist()
+        names = [f"{flat_a[i]}|{flat_b[j]}" for i, j in zip(last_a.tolist(), last_b.tolist(), strict=True)]
+        others = np.zeros(len(names), np.int64)
+        for g in np.flatnonzero(~regular).tolist():
+            i, j = int(last_a[g]) + 1, int(last_b[g]) + 1
+            a, b = flat_a[i - int(size_a[g]) : i], flat_b[j - int(size_b[g]) : j]
+            if not one[g]:
+                names[g] = f"{','.join(map(str, a))}|{','.join(map(str, b))}"
+            others[g] = self._group(names[g], a, b)
+        units = len(spelt)
+        counts = np.bincount(unit, minlength=units)
+        links = np.bincount(unit, weights=size_a + size_b - 1, minlength=units).astype(np.int64)
+        columns = [n_a, n_b, counts, links, (~spelt).astype(np.int64)]
+        self.numbers = np.concatenate([self.numbers, np.stack(columns, axis=1).astype(np.int64)])
+        cuts = np.concatenate([[0], np.cumsum(counts)]).tolist()
+        self.parts += [";".join(names[a:b]) for a, b in zip(cuts, cuts[1:])]
+        self.regular.add(ids_a[last_a[regular]], np.bincount(unit[regular], minlength=units))
+        self.irregular.add(others[~regular], np.bincount(unit[~regular], minlength=units))
+
+    def _group(self, name: str, a: list[int], b: list[int]) -> int:
         place = self.group_places.get(name)
         if place is None:
             place = self.group_places[name] = len(self.group_names)
