@@ -6,7 +6,7 @@ join chosen: a broadcast under the limit, a split by hot keys above it.
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,8 +19,8 @@ HOT_SHARE = 0.001
 def checkpointed(df: DataFrame) -> DataFrame:
     """Write ``df`` to the session's checkpoint folder, so lost executors cost no recomputation.
 
-    The folder is the one named in ``spark.checkpoint.dir``. Where it is unset,
-    a local session gets a temporary one; a cluster session is refused.
+    The folder is the one named in ``spark.checkpoint.dir``. Where it is unset, a local
+    session gets one in its warehouse; a cluster session is refused.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
@@ -28,7 +28,10 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Take the folder from ``spark.checkpoint.dir``; only a local session may go without."""
+    """Take the folder from ``spark.checkpoint.dir``; only a local session may go without.
+
+    It then gets a folder of its own in the warehouse, which is deleted when the driver ends.
+    """
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
         return
@@ -36,7 +39,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if folder is None:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="answerclock-")
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        folder = f"{warehouse.rstrip('/')}/checkpoints-{uuid.uuid4().hex}"
+        place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
     context.setCheckpointDir(folder)
 
 

@@ -319,7 +319,7 @@ def oracle_sql() -> dict[str, str]:
         "posts_since": _with(
             POSTS,
             select="""SELECT id, creation_date FROM posts
-                      WHERE creation_date >= TIMESTAMP '1998-01-16 12:00:00'""",
+                      WHERE creation_date >= TIMESTAMP '1998-03-01 00:00:00'""",
         ),
         "posts_between_years": _with(
             POSTS,
@@ -386,7 +386,7 @@ def oracle_sql() -> dict[str, str]:
             """
 kept AS (
   SELECT response_hours AS value FROM times
-  WHERE creation_date >= TIMESTAMP '1998-01-16 12:00:00' AND response_hours <= 8760)""",
+  WHERE creation_date >= TIMESTAMP '1998-03-01 00:00:00' AND response_hours <= 8760)""",
             _HISTOGRAM,
             select=_HISTOGRAM_SELECT,
         ),

@@ -31,7 +31,7 @@ FAST_HOURS = 720
 ACTIVITY_MIN_YEAR = 1996
 ANSWERS_MIN_YEAR = 1997
 USED_YEARS = (1996, 1998)
-SINCE = "1998-01-16T12:00:00.000"
+SINCE = "1998-03-01T00:00:00.000"
 BUCKET_EDGES = (0, 168, 720, 4380)
 HISTOGRAM_MAX_HOURS = 8760
 SCRIPT = ("<script", "</script>")
