@@ -40,3 +40,11 @@ def map_arrow(df: DataFrame, kernel, schema) -> DataFrame:
 def total_bytes(df: DataFrame, column: str) -> int:
     """Bytes of a text column over all rows."""
     return df.agg(F.coalesce(F.sum(F.octet_length(column)), F.lit(0))).first()[0]
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as it takes to be no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name

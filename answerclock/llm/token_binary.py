@@ -69,9 +69,11 @@ def _writer(path: str, end_id: int, shard_tokens: int):
         part, seq = TaskContext.get().partitionId(), 0
         keys, lengths, ids, held = [], [], [], 0
         for batch in batches:
-            offsets = text_bytes(batch.column(1))[1]
+            data, offsets = text_bytes(batch.column(1))
             for a, b in slices(offsets, min(SLICE_BYTES, shard_tokens)):
-                own, counts = coder.encode(batch.column(1)[a:b].to_pylist())
+                base = int(offsets[a])
+                own_data = data[base : int(offsets[b])]
+                own, counts = coder.encode_bytes(own_data, offsets[a : b + 1] - base)
                 own = np.insert(own.astype(kind), np.cumsum(counts), end_id)
                 keys += batch.column(0)[a:b].to_pylist()
                 lengths += (counts + 1).tolist()
@@ -96,8 +98,11 @@ def write_shards(
     shard_tokens: int = SHARD_TOKENS,
 ) -> None:
     """Encode ``docs`` and write their ids to ``folder`` in ascending order of ``key``."""
-    ranged = docs.select(F.col(key).cast("long"), text).repartitionByRange(key)
-    ordered = ranged.sortWithinPartitions(key)
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    # Rows with one key or none may be very many: their place in the scan deals them out.
+    placed = rows.withColumn("place", F.monotonically_increasing_id())
+    ordered = placed.repartitionByRange("doc_id", "place").sortWithinPartitions("doc_id", "place")
+    ordered = ordered.select("doc_id", "text")
     shards = map_arrow(ordered, _writer(tokenizer_path, end_id, shard_tokens), SHARD_DDL)
     shards.write.option("compression", "zstd").parquet(folder)
 

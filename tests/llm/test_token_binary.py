@@ -34,6 +34,8 @@ def test_wavelet_matrix_equals_a_list(n, top):
 
 def test_cached_encoding_equals_the_library(tokenizer, monkeypatch):
     monkeypatch.setattr(encoding, "MAX_PIECES", 500)  # emptied now and then
+    monkeypatch.setattr(encoding, "MAX_UNITS", 300)
+    monkeypatch.setattr(encoding, "LOT", 3)
     coder, rng = encoding.CachedEncoder(tokenizer_path()), random.Random(1)
     parts = list("abAB12  \n\t,.;:!?'\"()éß×_-$½²") + [
         "'s", "'ll", "  ", "<|endoftext|>", " ", "日", "́", "\r\n", "\x1c", " ",
@@ -84,3 +86,24 @@ def test_empty_table_and_equal_keys(spark, no_docs, tokenizer):
     assert sorted((r.start, r.n_tokens, str(r.doc_id)) for r in got) == [
         (0, 2, "None"), (2, 2, "3"), (4, 2, "3"), (6, 1, "7"),
     ]
+
+
+def test_one_key_on_all_rows_is_spread(spark, tokenizer, settings):
+    settings(spark__sql__adaptive__coalescePartitions__enabled="false")
+    rows = [(None, f"text number {i}") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    folder = shared_folder(spark)
+    token_binary.write_shards(df, folder, tokenizer_path(), END_ID)
+    shards = token_binary.read_shards(spark, folder)
+    assert shards.count() > 3
+    got = sorted(r.ids_crc32 for r in token_binary.document_digests(shards).collect())
+    assert got == sorted(x[3] for x in expected(rows, tokenizer))
+
+
+def test_grouped_equals_unique():
+    rng = np.random.default_rng(3)
+    for hashes in (rng.integers(0, 1 << 63, 500).astype(np.uint64), np.array([5, 4, 5, 6, 4], np.uint64), np.empty(0, np.uint64)):
+        unique, at, inverse = encoding._grouped(np.concatenate([hashes, hashes[: len(hashes) // 2]]))
+        want = np.unique(hashes)
+        assert (unique == want).all() and (unique[inverse][: len(hashes)] == hashes).all()
+        assert (np.concatenate([hashes, hashes])[at] == want).all() or len(hashes) < 6
