@@ -26,6 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from answerclock.llm.cluster import unused
 from answerclock.llm.words import ascii_lower
 from answerclock.operators.storage import stored
 
@@ -226,8 +227,8 @@ def digest(found: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, that hold no window of an item."""
-    mark = F.struct(F.col(key).alias("key"), F.xxhash64(text).alias("text"))
-    marked = docs.withColumn("_item_mark", mark)
-    found = contamination(marked, items, "_item_mark", text)
-    hit = found.filter("n_hit > 0").select(F.col("doc_id").alias("_item_mark")).distinct()
-    return marked.join(hit, "_item_mark", "left_anti").select(*docs.columns)
+    mark = unused(docs, "_item_mark")
+    marked = docs.withColumn(mark, F.struct(F.col(key).alias("key"), F.xxhash64(text).alias("text")))
+    found = contamination(marked, items, mark, text)
+    hit = found.filter("n_hit > 0").select(F.col("doc_id").alias(mark)).distinct()
+    return marked.join(hit, mark, "left_anti").select(*docs.columns)

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from answerclock.llm.cluster import unused
 from answerclock.llm.words import word_count
 from answerclock.operators.storage import numbered, stored
 
@@ -161,13 +162,13 @@ def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str
     Rows stay where they are; only the limits of their source come to them.
     """
     sizes = stored(sized(docs, key, text, source))
+    of, repeats, threshold, copy = (
+        unused(docs, name) for name in ("_mix_source", "_mix_repeats", "_mix_threshold", "_mix_copy")
+    )
     limits = stored(thresholds(sizes, source_targets(sizes, **how))).select(
-        F.col("source").alias("_mix_source"),
-        F.col("repeats").alias("_mix_repeats"),
-        F.col("threshold").alias("_mix_threshold"),
+        F.col("source").alias(of), F.col("repeats").alias(repeats), F.col("threshold").alias(threshold)
     )
-    joined = docs.join(limits, docs[source].eqNullSafe(limits["_mix_source"]))
-    below = F.coalesce(hash_place(key) < F.col("_mix_threshold"), F.lit(False))
-    copies = (F.col("_mix_repeats") + below.cast("long")).cast("int")
-    numbers = F.array_repeat(F.lit(0), copies)
-    return joined.withColumn("_mix_copy", F.explode(numbers)).select(*docs.columns)
+    joined = docs.join(limits, docs[source].eqNullSafe(limits[of]))
+    below = F.coalesce(hash_place(key) < F.col(threshold), F.lit(False))
+    numbers = F.array_repeat(F.lit(0), (F.col(repeats) + below.cast("long")).cast("int"))
+    return joined.withColumn(copy, F.explode(numbers)).select(*docs.columns)

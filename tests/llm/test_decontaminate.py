@@ -81,3 +81,11 @@ def test_no_python_in_the_plan(data):
 
     plan = plan_of(decon.digest(decon.contamination(data[2], data[3])))
     assert "Python" not in plan and "InArrow" not in plan and "CartesianProduct" not in plan
+
+
+def test_columns_with_the_names_of_the_operator(spark):
+    passage = " ".join(f"p{i}" for i in range(12))
+    docs = spark.createDataFrame([(1, passage, 7, 8), (2, "clean words", 7, 8)], "doc_id long, text string, _item_mark int, __item_mark int")
+    items = spark.createDataFrame([("i", passage)], "item_id string, text string")
+    got = decon.clean(docs, items)
+    assert [tuple(r) for r in got.collect()] == [(2, "clean words", 7, 8)]

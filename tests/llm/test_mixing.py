@@ -78,3 +78,12 @@ def test_empty_tables_and_empty_texts(spark, no_docs):
 def test_one_key_on_all_rows(spark):
     df = spark.createDataFrame([(None, "a b", "s")] * 10, "doc_id long, text string, source string")
     assert mixing.mix(df).agg(F.sum("taken")).first()[0] in (20, 40)
+
+
+def test_columns_with_the_names_of_the_operator(spark):
+    rows = [(i, f"word {i} more", "a" if i % 2 else None, 7, "x", 1.5, 9) for i in range(40)]
+    names = "_mix_copy int, _mix_source string, _mix_threshold double, _MIX_REPEATS int"
+    df = spark.createDataFrame(rows, f"doc_id long, text string, source string, {names}")
+    got = mixing.mixed(df)
+    assert got.columns == df.columns and got.count() > 40
+    assert {tuple(r)[3:] for r in got.collect()} == {(7, "x", 1.5, 9)}
