@@ -19,9 +19,9 @@ of all documents share costs one entry per slab, and a shard holds about
 3. Slab: all such windows, and those after the first one inside a slab, cover the words that go.
 
 Probes are compared by 48 bits of their hash, which can only add candidates, windows by 64
-bits. Windows are judged on the input. Null texts have no words, rows with equal keys are
-ordered by their text, null keys come before all others in some fixed order. Repeated rows
-stay as rows; the later one loses its repeated words. Other columns are ignored.
+bits. Windows are judged on the input. Null texts have no words. Rows with equal keys come in
+some fixed order, those with equal texts side by side; null keys come before all others, too.
+Repeated rows stay as rows; the later one loses its repeated words. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -41,6 +41,7 @@ from answerclock.llm.cluster import ship, total_bytes
 WINDOW = 20
 BLOCK = 10  # at most (WINDOW + 1) / 2, so that each window holds a whole block
 SLAB_BYTES = 16 * 1024 * 1024
+LEAST_SLAB_BYTES = 2 * 1024 * 1024
 SHARD_BYTES = 8 * 1024 * 1024
 SLICE_BYTES = 2 * 1024 * 1024
 PROBE_BITS = 48
@@ -307,8 +308,11 @@ def remove_repeats(
     ship(docs.sparkSession)
     size = total_bytes(docs, text)
     slabs, shards = (max(1, -(-size // limit)) for limit in (SLAB_BYTES, SHARD_BYTES))
+    # A small table is cut finer, so that all cores have some of it.
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    slabs = max(slabs, min(cores, -(-size // LEAST_SLAB_BYTES)))
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    place = F.xxhash64(F.coalesce("doc_id", F.xxhash64("text")))
+    place = F.xxhash64("doc_id", "text")  # rows with one key or none spread by their texts
     rows = rows.withColumn("slab", F.pmod(place, F.lit(slabs)).cast("int"))
     by_slab = rows.groupBy("slab")
 

@@ -57,3 +57,12 @@ def test_packets_round_trip():
     keys, marks = np.arange(100) - 50, (np.arange(100) % 3).astype(np.uint8)
     back = sub.unpack(sub.pack(hashes, keys, marks), 100, np.int64, np.uint8)
     assert all((a == b).all() for a, b in zip(back, (hashes, keys, marks)))
+
+
+def test_one_key_on_all_rows_is_spread(spark, monkeypatch):
+    monkeypatch.setattr(sub, "SLAB_BYTES", 3000)
+    texts = [" ".join(f"w{i}x{j}" for j in range(40)) for i in range(100)]
+    shared = " ".join(f"s{j}" for j in range(30))
+    df = spark.createDataFrame([(None, f"{t} {shared}") for t in texts], "doc_id long, text string")
+    got = sub.remove_repeats(df).collect()
+    assert sum(r.n_removed for r in got) == 99 * 30
