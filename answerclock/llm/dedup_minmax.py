@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from answerclock.llm.batches import WindowHasher, mixed, per_text, slices, text_bytes
-from answerclock.llm.cluster import map_arrow
+from answerclock.llm.cluster import map_arrow, unused
 from answerclock.llm.components import components
 from answerclock.operators.storage import stored
 
@@ -42,10 +42,13 @@ LEAST_PERCENT = 85
 
 SLICE_BYTES = 1 << 20
 BLOCK_NODES = 1024
+STAR_NODES = 256  # of a block that meets one node only
 BLOCK_SHINGLES = 1 << 20
 MATRIX_COLUMNS = 2048
 
-FEATURES = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
+FEATURES = (
+    "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, row long"
+)
 _rng = np.random.default_rng(20240229)
 _FACTORS = _rng.integers(1, 1 << 63, PERMUTATIONS, np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFTS = _rng.integers(0, 1 << 63, PERMUTATIONS, np.uint64)
@@ -111,8 +114,9 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(set_a),
                     pa.array(set_b),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(bands)),
+                    batch.column(2)[a:b],
                 ],
-                ["doc_id", "n_shingles", "set_a", "set_b", "bands"],
+                ["doc_id", "n_shingles", "set_a", "set_b", "bands", "row"],
             )
 
 
@@ -124,7 +128,7 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw = memoryview(np.ascontiguousarray(data))
         packed = [press.compress(raw[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(packed, pa.binary())], ["doc_id", "packed"]
+            [batch.column(2), pa.array(packed, pa.binary())], ["row", "packed"]
         )
 
 
@@ -164,8 +168,9 @@ def _checked(table: pa.Table, least_percent: int) -> pa.Table:
             data = np.frombuffer(unpack.decompress(packed), np.uint8)
             shingles, starts = shingle_sets(hasher, data, np.array([0, len(data)]))
             own_a, own_b = set_digests(shingles, starts)
-            if (own_a[0], own_b[0]) == (a, b):  # else another row with the same key
-                sets[node] = shingles
+            if (own_a[0], own_b[0]) != (a, b):
+                raise ValueError("a text is not the one that its node was made of")
+            sets[node] = shingles
     for node, root, x in zip(*(table[c].to_pylist() for c in ("node", "root", "x")), strict=True):
         if node in sets:
             seen[(node, x)] = root
@@ -185,10 +190,11 @@ def _checked(table: pa.Table, least_percent: int) -> pa.Table:
     return pa.table({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})
 
 
-def _blocks(nodes: str, shingles: str):
+def _blocks(nodes: str, shingles: str, others: str):
     """Number of blocks that keeps each within the bounds on nodes and shingles."""
+    most = F.when(F.col(others) == 1, STAR_NODES).otherwise(BLOCK_NODES)
     return F.ceil(
-        F.greatest(F.col(nodes) / BLOCK_NODES, F.col(shingles) / BLOCK_SHINGLES, F.lit(1))
+        F.greatest(F.col(nodes) / most, F.col(shingles) / BLOCK_SHINGLES, F.lit(1))
     ).cast("int")
 
 
@@ -205,8 +211,8 @@ def verified_links(tasks: DataFrame, nodes: DataFrame, least_percent: int) -> Da
     sums = tasks.groupBy("anchor").agg(x_nodes, k_nodes, size, rest)
     plan = sums.select(
         "anchor",
-        _blocks("x_nodes", "x_shingles").alias("x_blocks"),
-        _blocks("k_nodes", "k_shingles").alias("k_blocks"),
+        _blocks("x_nodes", "x_shingles", "k_nodes").alias("x_blocks"),
+        _blocks("k_nodes", "k_shingles", "x_nodes").alias("k_blocks"),
     ).filter("x_blocks > 1 OR k_blocks > 1")  # few: each of them has a full block
     x_blocks, k_blocks = (F.coalesce(F.col(c), F.lit(1)) for c in ("x_blocks", "k_blocks"))
     own = F.when(F.col("x"), x_blocks).otherwise(k_blocks)
@@ -226,18 +232,23 @@ def verified_links(tasks: DataFrame, nodes: DataFrame, least_percent: int) -> Da
     )
 
 
-def near_duplicates(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", least_percent: int = LEAST_PERCENT
-) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row of ``docs``.
+def _placed(docs: DataFrame, row: str) -> DataFrame:
+    """``docs`` stored with a number for each row, which every later scan finds again."""
+    return stored(docs.withColumn(row, F.monotonically_increasing_id()))
 
-    Texts are linked from a similarity of ``least_percent`` on.
+
+def _components_of(source: DataFrame, least_percent: int) -> DataFrame:
+    """(doc_id, n_shingles, row, component_id, first_row) of every row of (doc_id, text, row).
+
+    ``first_row`` is the row that stands for its group, null for rows without words. Texts are
+    fetched by row, so neither null nor repeated keys meet more than their own.
     """
-    source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     features = stored(map_arrow(source, _features, FEATURES))
     digest = ["set_a", "set_b"]
     classes = features.filter("n_shingles > 0").groupBy(*digest).agg(
         F.min("doc_id").alias("first_id"),
+        # The least key first, rows without one last.
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("place"),
         F.any_value("n_shingles").alias("n_shingles"),
         F.any_value("bands").alias("bands"),
     )
@@ -259,14 +270,12 @@ def near_duplicates(
         .select("anchor", "anchor_n", "node", "n_shingles")
         .distinct()
     )
-    packed = map_arrow(source, _packed, "doc_id long, packed binary")
     needed = pairs.filter("held > 2").select("node").union(
         stars.select("node").union(stars.select("anchor"))
     )
-    wanted = classes.drop("bands").join(needed.distinct(), "node")
-    fetched = stored(
-        wanted.join(packed, wanted["first_id"].eqNullSafe(packed["doc_id"])).drop("doc_id")
-    )
+    wanted = classes.select("node", *digest, "place.row").join(needed.distinct(), "node")
+    packed = map_arrow(source, _packed, "row long, packed binary")
+    fetched = stored(wanted.join(packed, "row"))
     members = stars.select(
         "anchor", "node", F.col("node").alias("root"), F.lit(True).alias("x"), "n_shingles"
     )
@@ -285,18 +294,40 @@ def near_duplicates(
     return _labelled(features, classes, roots)
 
 
+def near_duplicates(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", least_percent: int = LEAST_PERCENT
+) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row of ``docs``.
+
+    Texts are linked from a similarity of ``least_percent`` on.
+    """
+    source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    found = _components_of(_placed(source, "row"), least_percent)
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+    return found.select("doc_id", "n_shingles", "component_id", kept)
+
+
 def deduplicated(
     docs: DataFrame, key: str = "doc_id", text: str = "text", least_percent: int = LEAST_PERCENT
 ) -> DataFrame:
     """One row of ``docs``, all columns, of each group: the one with the smallest key.
 
-    Repeated rows (same key and text) stay once. Rows without a key stay, once for each text.
+    Rows are told apart by their place, so of several with the smallest key, or of a group
+    without any key, one stays too. Of rows without words those with other keys or texts stay.
     """
-    kept = near_duplicates(docs, key, text, least_percent).filter("kept")
-    kept = kept.select(F.col("doc_id").alias(key))
-    keyed = docs.join(kept.filter(F.col(key).isNotNull()).distinct(), key, "left_semi")
-    keyed = keyed.select(*docs.columns).dropDuplicates([key, text])
-    return keyed.unionByName(docs.filter(F.col(key).isNull()).dropDuplicates([text]))
+    row = unused(docs, "_dedup_row")
+    placed = _placed(docs, row)
+    source = placed.select(
+        F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), F.col(row).alias("row")
+    )
+    found = _components_of(source, least_percent)
+    chosen = found.filter("row = first_row").select("row")
+    empty = found.filter("first_row IS NULL").select("row", "doc_id").join(
+        source.select("row", F.col("text").alias("_text")), "row"
+    )
+    without = empty.groupBy("doc_id", "_text").agg(F.min("row").alias("row")).select("row")
+    kept = chosen.unionByName(without).toDF(row)
+    return placed.join(kept, row, "left_semi").select(*docs.columns)
 
 
 def _tree(roots: DataFrame) -> DataFrame:
@@ -334,11 +365,17 @@ def _open_tasks(shared: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _labelled(features: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
-    owned = _rooted(classes.select("node", "set_a", "set_b", "first_id"), roots)
-    least = owned.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = owned.join(least, "root").select("set_a", "set_b", "component_id")
+    owned = _rooted(classes.select("node", "set_a", "set_b", "first_id", "place"), roots)
+    least = owned.groupBy("root").agg(
+        F.min("first_id").alias("component_id"), F.min("place").getField("row").alias("first_row")
+    )
+    named = owned.join(least, "root").select("set_a", "set_b", "component_id", "first_row")
     joined = features.drop("bands").join(named, ["set_a", "set_b"], "left")
-    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return joined.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
+    empty = F.col("n_shingles") == 0
+    return joined.select(
+        "doc_id",
+        "n_shingles",
+        "row",
+        F.when(empty, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        F.when(~empty, F.col("first_row")).alias("first_row"),
     )

@@ -83,3 +83,21 @@ def test_signatures_estimate_the_similarity():
     out = dedup.signatures(sets, np.array([0, 800]))
     assert abs((out[:, 0] == out[:, 1]).mean() - 0.6) < 0.12
     assert hasher.width == 5
+
+
+def test_a_third_without_keys_meets_only_its_own_rows(spark):
+    """Texts are fetched by row: as many rows as nodes, whatever the keys."""
+    rng = random.Random(5)
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, sentences(rng, 3000, 30)) for i in range(90)]
+    rows += [(key, text + " more") for key, text in rows]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    kept = dedup.deduplicated(df).collect()
+    assert len(kept) == 90 and len({r.text.removesuffix(" more") for r in kept}) == 90
+
+
+def test_copies_without_any_key_keep_one(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(None, text)] * 5 + [(None, text + " x")] * 2 + [(None, None), (None, None), (3, ""), (3, ""), (4, " ")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id is None, r.doc_id or 0, bool(r.text and r.text.strip())) for r in dedup.deduplicated(df).collect())
+    assert got == [(False, 3, False), (False, 4, False), (True, 0, False), (True, 0, True)]
