@@ -57,7 +57,8 @@ def op3_mixing(spark, sf_dir):
 
 
 def op4_url_filter(spark, sf_dir):
-    return url_filter.judged(_table(spark, sf_dir, "pages")).drop("score")
+    found = url_filter.judged(_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "host", "path", "rule", "verdict", "label", "held_out")
 
 
 def op5_language_id(spark, sf_dir):

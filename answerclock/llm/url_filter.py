@@ -8,9 +8,12 @@ URL gets the verdict of a multinomial naive Bayes over tokens:
    words of all pages, counted only for words that are part of some piece. The words in
    ``SEEDS`` count ``SEED_COUNT`` more. A word has at most ``MAX_WORD`` letters.
 2. Path tokens are its runs of letters, and the number of digits of its numbers.
-3. There are no labels to learn from, so the seeds give them: a URL whose host holds a seed
-   word teaches ``block``, any other ``allow``. Tokens that come along with seeds then weigh
-   against a URL as well.
+3. Labels come from two places: a URL that fits a rule has the rule's verdict, any other one
+   whose host holds a seed word is ``block``; the rest teaches nothing. What made the label is
+   taken away first (the seeds of a seed's URL), so the tokens around it are learned. A seed
+   itself counts as ``SEED_PAGES`` blocked pages, a belief that the labels can outweigh.
+4. A fifth of the labelled URLs, chosen by their checksum, is held out of the training;
+   ``held_out_accuracy`` compares the method and the bare list of seeds with their labels.
 
 Pieces are segmented once each, however many pages share a host; a piece meets only its own
 parts, so nothing that grows with the pages is broadcast unmeasured. Null URLs and URLs
@@ -47,6 +50,8 @@ SEEDS = (
     "slots spam track tracker tracking viagra warez xxx"
 ).split()
 SEED_COUNT = 1000
+SEED_PAGES = 20
+FOLDS = 5  # every fifth labelled URL is held out
 MAX_WORD = 20
 SMOOTHING = 1.0
 DIGITS = 9
@@ -122,10 +127,10 @@ def unigrams(pages: DataFrame, parts: DataFrame, html: str = "html") -> DataFram
     spark = pages.sparkSession
     words = F.regexp_extract_all(ascii_lower(F.coalesce(html, F.lit(""))), F.lit(LETTERS), F.lit(0))
     rows = pages.select(F.explode(words).alias("word")).filter(F.length("word") <= MAX_WORD)
-    wanted = parts.groupBy("word").agg(F.count(F.lit(1)).alias("pieces"))
-    seen = join_lookup(rows, wanted, "word", "pieces", "left_semi")
+    # Counted first: what meets the parts is one row per word, not one per occurrence.
+    every = rows.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    counts = every.join(parts.select("word").distinct(), "word")
     seeds = spark.createDataFrame([(w,) for w in SEEDS], "word string")
-    counts = seen.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     extra = seeds.select("word", F.lit(SEED_COUNT).cast("long").alias("n"))
     return counts.unionByName(extra).groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -196,22 +201,39 @@ def host_tokens(hosts: DataFrame, pages: DataFrame, html: str = "html") -> DataF
 
 
 def token_weights(tokens: DataFrame, labelled: DataFrame) -> tuple[DataFrame, float]:
-    """((token, weight, n), prior): log odds of ``block`` against ``allow``, smoothed."""
+    """((token, weight, n), prior): log odds of ``block`` against ``allow``, smoothed.
+
+    ``tokens`` has (token, bad) of the rows of ``labelled``; the seeds are added as tokens of
+    ``SEED_PAGES`` blocked pages.
+    """
     rows, blocked = labelled.agg(
         F.count(F.lit(1)), F.coalesce(F.sum(F.col("bad").cast("long")), F.lit(0))
     ).first()
     prior = math.log(blocked + SMOOTHING) - math.log(rows - blocked + SMOOTHING)
     bad = F.sum(F.col("bad").cast("long")).alias("bad")
-    counts = stored(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"), bad))
-    size, held, held_bad = counts.agg(
-        F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("bad"), F.lit(0))
-    ).first()
-    spread = SMOOTHING * max(size, 1)
+    seen = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"), bad)
+    names = [("host:" + word, SEED_PAGES, SEED_PAGES) for word in SEEDS]
+    believed = tokens.sparkSession.createDataFrame(names, "token string, n long, bad long")
+    both = seen.unionByName(believed).groupBy("token")
+    counts = stored(both.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")))
+    size, held, held_bad = counts.agg(F.count(F.lit(1)), F.sum("n"), F.sum("bad")).first()
+    spread = SMOOTHING * size
     in_bad = F.log((F.col("bad") + SMOOTHING) / F.lit(held_bad + spread))
     in_good = F.log((F.col("n") - F.col("bad") + SMOOTHING) / F.lit(held - held_bad + spread))
     return counts.select("token", (in_bad - in_good).alias("weight"), "n"), prior
 
 
+def held_out_accuracy(judged_pages: DataFrame) -> DataFrame:
+    """(labelled, right, right_by_seeds) over the labelled URLs that were held out."""
+    rows = judged_pages.filter("held_out AND label IS NOT NULL")
+    by_seeds = F.when(F.col("has_seed"), F.lit("block")).otherwise(F.lit("allow"))
+    return rows.agg(
+        F.count(F.lit(1)).alias("labelled"),
+        F.count_if(F.col("learned") == F.col("label")).alias("right"),
+        F.count_if(by_seeds == F.col("label")).alias("right_by_seeds"),
+    )
+
+
 def judged(
     pages: DataFrame,
     rules: DataFrame | None = None,
@@ -219,9 +241,10 @@ def judged(
     url: str = "url",
     html: str = "html",
 ) -> DataFrame:
-    """(page_id, host, path, rule, verdict, score) of every row of ``pages``.
+    """(page_id, host, path, rule, verdict, score, learned, label, has_seed, held_out) of every row.
 
-    ``score`` is the log odds of ``block`` by naive Bayes, whether or not a rule decides.
+    ``score`` is the log odds of ``block`` by naive Bayes and ``learned`` its verdict, whether or
+    not a rule decides; ``label`` is what the row taught or was held out with, or null.
     """
     rules = rule_table(pages.sparkSession) if rules is None else rules
     host, path = host_and_path(url)
@@ -230,27 +253,45 @@ def judged(
     hosts = rows.select("host").distinct()
     of_host = stored(host_tokens(hosts, pages, html))
     seeds = F.array(*[F.lit("host:" + word) for word in SEEDS])
-    marked = of_host.withColumn("bad", F.arrays_overlap("tokens", seeds))
-    joined = rows.join(marked, "host", "left")
-    every = F.concat(
-        F.coalesce("tokens", F.array().cast(T.ArrayType(T.StringType()))),
-        path_tokens("path"),
-    )
+    joined = rows.join(of_host, "host", "left").join(fitting_rules(rows, rules), "row", "left")
+    own = F.coalesce("tokens", F.array().cast(T.ArrayType(T.StringType())))
+    has_seed = F.arrays_overlap(own, seeds)
+    by_seed = F.when(has_seed, F.lit("block"))
     labelled = stored(
-        joined.select("row", every.alias("tokens"), F.coalesce("bad", F.lit(False)).alias("bad"))
+        joined.select(
+            "row",
+            "page_id",
+            "host",
+            "path",
+            "rule",
+            "rule_verdict",
+            F.concat(own, path_tokens("path")).alias("tokens"),
+            has_seed.alias("has_seed"),
+            F.coalesce("rule_verdict", by_seed).alias("label"),
+            (F.crc32(F.concat("host", "path")) % FOLDS == 0).alias("held_out"),
+        )
+    )
+    taught = labelled.filter("label IS NOT NULL AND NOT held_out").select(
+        F.when(F.col("rule").isNull(), F.filter("tokens", lambda t: ~F.array_contains(seeds, t)))
+        .otherwise(F.col("tokens"))
+        .alias("tokens"),
+        (F.col("label") == "block").alias("bad"),
     )
-    tokens = labelled.select("row", "bad", F.explode("tokens").alias("token"))
-    weights, prior = token_weights(tokens, labelled)
-    weighed = join_lookup(tokens.select("row", "token"), weights, "token", "n")
-    sums = weighed.groupBy("row").agg(F.sum("weight").alias("sum"))
-    found = rows.join(fitting_rules(rows, rules), "row", "left").join(sums, "row", "left")
+    weights, prior = token_weights(taught.select("bad", F.explode("tokens").alias("token")), taught)
+    tokens = labelled.select("row", F.explode("tokens").alias("token"))
+    sums = join_lookup(tokens, weights, "token", "n").groupBy("row").agg(F.sum("weight").alias("sum"))
+    found = labelled.join(sums, "row", "left")
     score = F.round(F.coalesce("sum", F.lit(0.0)) + F.lit(prior), DIGITS)
-    method = F.when(score > 0, F.lit("block")).otherwise(F.lit("allow"))
+    learned = F.when(score > 0, F.lit("block")).otherwise(F.lit("allow"))
     return found.select(
         "page_id",
         "host",
         "path",
         "rule",
-        F.coalesce("rule_verdict", method).alias("verdict"),
+        F.coalesce("rule_verdict", learned).alias("verdict"),
         score.alias("score"),
+        learned.alias("learned"),
+        "label",
+        "has_seed",
+        "held_out",
     )

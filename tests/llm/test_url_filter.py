@@ -3,6 +3,7 @@ from __future__ import annotations
 import itertools
 import math
 import re
+import zlib
 from collections import Counter
 
 import pytest
@@ -67,36 +68,44 @@ def test_hosts_paths_and_rules(pages):
         assert verdict is None or got[i].verdict == verdict
 
 
-def plain_scores(html_of):
-    """Log odds of every URL of ``URLS`` by a naive Bayes over dictionaries."""
+def plain_scores(html_of, urls=URLS):
+    """Log odds of every URL by a naive Bayes over dictionaries."""
     names = [
         re.findall("[a-z]+", " ".join(x for x in plain_cut(u)[0].split(".")[:-1] if x != "www"))
-        for u in URLS
+        for u in urls
     ]
     held = {p[a:b] for own in names for p in own for a in range(len(p)) for b in range(a + 1, len(p) + 1)}
     counts = Counter(dict.fromkeys(url_filter.SEEDS, url_filter.SEED_COUNT))
     for html in html_of:
         counts.update(w for w in re.findall("[a-z]+", (html or "").lower()) if w in held)
     total = sum(counts.values())
-    rows = []
-    for url, own in zip(URLS, names):
+    rows, bad, good, labels = [], Counter(), Counter(), []
+    seeds = {"host:" + word for word in url_filter.SEEDS}
+    for url, own in zip(urls, names):
         host = ["host:" + w for p in own for w in url_filter.best_split(p, counts, total)]
-        runs = re.findall("[a-z]+|[0-9]+", plain_cut(url)[1].lower())
-        path = [f"#{len(r)}" if r[0].isdigit() else r for r in runs]
-        rows.append((host + path, any(h[5:] in url_filter.SEEDS for h in host)))
-    bad, good = Counter(), Counter()
-    for tokens, is_bad in rows:
-        (bad if is_bad else good).update(tokens)
+        cut = plain_cut(url)
+        runs = re.findall("[a-z]+|[0-9]+", cut[1].lower())
+        tokens = host + [f"#{len(r)}" if r[0].isdigit() else r for r in runs]
+        rows.append(tokens)
+        rule, label = plain_rule(*cut)
+        if rule is None and seeds & set(host):
+            label, tokens = "block", [t for t in tokens if t not in seeds]
+        if label is not None and zlib.crc32("".join(cut).encode()) % 5:
+            (bad if label == "block" else good).update(tokens)
+            labels.append(label)
+    bad.update(dict.fromkeys(seeds, url_filter.SEED_PAGES))
     size = len({*bad, *good})
-    blocked = sum(is_bad for _, is_bad in rows)
-    prior = math.log(blocked + 1) - math.log(len(rows) - blocked + 1)
+    blocked = labels.count("block")
+    prior = math.log(blocked + 1) - math.log(len(labels) - blocked + 1)
 
     def weight(token):
+        if token not in bad and token not in good:
+            return 0.0
         return math.log((bad[token] + 1) / (bad.total() + size)) - math.log(
             (good[token] + 1) / (good.total() + size)
         )
 
-    return [prior + sum(map(weight, tokens)) for tokens, _ in rows]
+    return [prior + sum(map(weight, tokens)) for tokens in rows]
 
 
 def test_scores_equal_a_plain_naive_bayes(pages):
@@ -104,9 +113,32 @@ def test_scores_equal_a_plain_naive_bayes(pages):
     got = {r.page_id: r for r in url_filter.judged(pages).collect()}
     assert [got[i].score for i in range(len(URLS))] == pytest.approx(want, abs=1e-8)
     for i in got:
+        assert got[i].learned == ("block" if want[i] > 0 else "allow")
         if got[i].rule is None:
-            assert got[i].verdict == ("block" if want[i] > 0 else "allow")
-    assert got[8].verdict == got[9].verdict == "block" and got[16].verdict == "allow"
+            assert got[i].verdict == got[i].learned
+
+
+def test_what_stands_around_labels_is_learned(spark):
+    """Rules block pages with ``deals``, and seeds come along with ``win``."""
+    urls = [f"https://shop{chr(97 + i % 20)}.example.com/de/deals/{i}" for i in range(200)]
+    urls += [f"https://news{chr(97 + i % 20)}.example.org/en/story/{i}" for i in range(400)]
+    urls += [f"https://casino-win{chr(97 + i % 5)}.example.net/en/{i}" for i in range(60)]
+    others = [
+        "https://plain.example.net/deals/deals/7",  # no seed, but what blocked pages have
+        "https://win-now.example.net/9",
+        "https://plain.example.net/en/story/7",
+        "https://track.example.net/en/story/en/story/story/8",  # a seed among what allowed pages have
+    ]
+    rows = [(i, u, "<p>win now story deals casino</p>") for i, u in enumerate(urls + others)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = url_filter.judged(df)
+    got = {r.page_id: r for r in found.collect()}
+    verdicts = [got[len(urls) + i].verdict for i in range(4)]
+    assert verdicts == ["block", "block", "allow", "allow"]
+    want = plain_scores([r[2] for r in rows], urls + others)
+    assert [got[i].score for i in range(len(rows))] == pytest.approx(want, abs=1e-8)
+    (held,) = url_filter.held_out_accuracy(found).collect()
+    assert held.labelled > 100 and held.right > 0.95 * held.labelled > held.right_by_seeds
 
 
 def test_viterbi_finds_the_best_of_all_splits():
