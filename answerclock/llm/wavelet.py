@@ -70,9 +70,9 @@ class WaveletMatrix:
     def of(cls, ids: np.ndarray, levels: int) -> WaveletMatrix:
         planes = []
         for level in reversed(range(levels)):
-            ones = (ids >> ids.dtype.type(level) & ids.dtype.type(1)).astype(bool)
+            ones = (ids & ids.dtype.type(1 << level)) != 0
             planes.append(Plane.of(ones))
-            ids = np.concatenate([ids[~ones], ids[ones]])
+            ids = np.concatenate([np.compress(~ones, ids), np.compress(ones, ids)])
         return cls(planes)
 
     def __len__(self) -> int:
@@ -80,12 +80,13 @@ class WaveletMatrix:
 
     def ids(self) -> np.ndarray:
         """All ids, put together from the lowest plane up."""
-        out = np.zeros(len(self), np.uint32)
+        kind = np.uint16 if len(self.planes) <= 16 else np.uint32
+        out = np.zeros(len(self), kind)
         for shift, plane in enumerate(reversed(self.planes)):
             ones, dealt, zeros = plane.flags(), out, plane.zeros
             out = np.empty_like(dealt)
-            out[~ones] = dealt[:zeros]
-            out[ones] = dealt[zeros:] | np.uint32(1 << shift)
+            out[np.flatnonzero(~ones)] = dealt[:zeros]
+            out[np.flatnonzero(ones)] = dealt[zeros:] | kind(1 << shift)
         return out
 
     def access(self, at: int) -> int:
