@@ -7,10 +7,12 @@ Texts that share a passage must meet in one index, wherever they are stored. So
 200 bytes is given an anchor, the least hash among its substrings of ``ANCHOR`` bytes, which
 depends on the window alone. A run of windows with one anchor is a region (their bytes taken
 together, ``REGION_WINDOWS`` windows at most). Equal windows lie in regions with equal anchors,
-so regions whose anchor occurs once are left out, and each anchor can be settled by itself:
+so regions whose anchor occurs once, in one place, are left out, and each anchor can be settled
+by itself:
 
 1. Per text: its regions, as (anchor, hash of the region). Anchors are counted; a region that
-   occurs more than once goes on once, with its number of copies.
+   occurs more than once goes on once, with its number of copies. A region that holds its own
+   anchor twice may repeat a window inside itself (a short period), so it goes on even alone.
 2. Anchors with more than ``REGION_LIMIT`` different regions (the ragged edges of a passage that
    very many texts share) are cut: every single window is an anchor and a region of its own, so
    no anchor has an unbounded group, and windows that occur once drop out before any text moves.
@@ -55,7 +57,7 @@ SHARD_BYTES = 8 * 1024 * 1024
 INDEX_SYMBOLS = 1 << 18
 INDEX_BITS = 21
 
-OCCURRENCE = "row long, at int, n int, anchor long, region long"
+OCCURRENCE = "row long, at int, n int, anchor long, region long, twice boolean"
 PIECE = "shard int, anchor long, region long, copies long, bytes binary"
 HIT = "anchor long, region long, ranges array<struct<start:int,end:int>>"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -93,12 +95,32 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - rest], values[rest:]) if rest else values
 
 
+def _anchored_twice(hashes, anchors, starts, n) -> np.ndarray:
+    """Whether a region's bytes hold two substrings that are anchors with one hash.
+
+    Two equal windows of a region hold its anchor in two places. Between neighbouring places
+    of a region's anchor no other substring is an anchor, so only neighbours are compared.
+    """
+    around = REGION_WINDOWS - 1
+    edge = np.zeros(around, np.uint64)
+    # A substring is an anchor if its hash is the greatest anchor of the windows that hold it.
+    greatest = ~_least(~np.concatenate([edge, anchors, edge]), REGION_WINDOWS)
+    places = np.flatnonzero(hashes == greatest)
+    same = np.flatnonzero(hashes[places[1:]] == hashes[places[:-1]])
+    first, second = places[same], np.append(places[same + 1], len(hashes) + around)
+    return second[np.searchsorted(first, starts)] < starts + n + around
+
+
 def regions(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(text, first window in ``data``, windows, anchor, hash) of every region of some texts."""
+    """(text, first window in ``data``, windows, anchor, hash, twice) of every region of some texts.
+
+    ``twice`` is true where a window may occur twice inside the region.
+    """
     windows = len(data) - WINDOW + 1
     if windows <= 0:
-        return tuple(np.empty(0, kind) for kind in (int, int, int, np.uint64, np.uint64))
-    anchors = _least(_Sums(data, 0).rolling(ANCHOR), WINDOW - ANCHOR + 1)
+        return tuple(np.empty(0, kind) for kind in (int, int, int, np.uint64, np.uint64, bool))
+    hashes = _Sums(data, 0).rolling(ANCHOR)
+    anchors = _least(hashes, REGION_WINDOWS)
     text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[:windows]
     inside = np.arange(windows) + WINDOW <= offsets[text + 1]
     new = np.ones(windows, bool)
@@ -113,22 +135,24 @@ def regions(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     within = (np.arange(len(first)) - first) * REGION_WINDOWS
     starts = np.repeat(edges, pieces) + within
     n = np.minimum(np.repeat(run, pieces) - within, REGION_WINDOWS)
-    return text[starts], starts, n, anchors[starts], _Sums(data, 1).of(starts, starts + n + WINDOW - 1)
+    twice = _anchored_twice(hashes, anchors, starts, n)
+    return text[starts], starts, n, anchors[starts], _Sums(data, 1).of(starts, starts + n + WINDOW - 1), twice
 
 
 def _signed(hashes: np.ndarray) -> pa.Array:
     return pa.array(hashes.view(np.int64))
 
 
-def _batch(rows, at, n, anchors, hashes) -> pa.RecordBatch:
+def _batch(rows, at, n, anchors, hashes, twice) -> pa.RecordBatch:
     columns = [
         pa.array(rows, pa.int64()),
         pa.array(at.astype(np.int32)),
         pa.array(n.astype(np.int32)),
         _signed(anchors),
         _signed(hashes),
+        pa.array(twice),
     ]
-    return pa.RecordBatch.from_arrays(columns, ["row", "at", "n", "anchor", "region"])
+    return pa.RecordBatch.from_arrays(columns, ["row", "at", "n", "anchor", "region", "twice"])
 
 
 def _stretches(batch: pa.RecordBatch) -> Iterator[tuple]:
@@ -144,9 +168,9 @@ def _find_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         rows = batch.column("row").to_numpy()
         for first, data, offsets in _stretches(batch):
-            text, starts, n, anchors, hashes = regions(data, offsets)
+            text, starts, n, anchors, hashes, twice = regions(data, offsets)
             if len(text):
-                yield _batch(rows[first + text], starts - offsets[text], n, anchors, hashes)
+                yield _batch(rows[first + text], starts - offsets[text], n, anchors, hashes, twice)
 
 
 def _find_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,7 +185,7 @@ def _find_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             at = np.repeat(starts - ends + counts, counts) + np.arange(int(ends[-1]))
             anchors, hashes = (_Sums(data, k).of(at, at + WINDOW) for k in (0, 1))
             row = np.full(len(at), batch.column("row")[i].as_py())
-            yield _batch(row, at, np.ones(len(at), int), anchors, hashes)
+            yield _batch(row, at, np.ones(len(at), int), anchors, hashes, np.zeros(len(at), bool))
 
 
 def _cut_pieces(shards: int):
@@ -407,11 +431,13 @@ def _cut(with_text: bool):
 
 
 def _recurring(occurrences: DataFrame) -> DataFrame:
-    """The occurrences whose anchor occurs twice or more."""
-    counts = occurrences.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n"))
+    """The occurrences whose anchor occurs twice or more, be it inside one region."""
+    counts = occurrences.groupBy("anchor").agg(
+        F.count(F.lit(1)).alias("_n"), F.max("twice").alias("_twice")
+    )
     # Stored, so that adaptive execution can split a hot anchor of the join.
-    again = stored(counts.filter("_n > 1").select("anchor"))
-    return stored(occurrences.join(again, "anchor", "left_semi"))
+    again = stored(counts.filter("_n > 1 OR _twice").select("anchor"))
+    return stored(occurrences.drop("twice").join(again, "anchor", "left_semi"))
 
 
 def _distinct(occurrences: DataFrame) -> DataFrame:

@@ -65,6 +65,21 @@ def test_empty_table_null_and_repeated_keys(spark, no_docs):
     assert got(ri.remove_repeats(spark.createDataFrame(rows, SCHEMA), with_text=True)) == expected(rows)
 
 
+@pytest.mark.parametrize("period", [1, 7, 100, 151, 152, 153, 154, 300])
+def test_a_short_period_that_no_other_text_has(spark, period):
+    """Equal windows may overlap so far that they lie in one region, whose anchor no other has."""
+    rng = random.Random(period)
+    letters = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    rows = []
+    for length in (200, 200 + period - 1, 200 + period, 203 + period, 352, 353):
+        for around in (0, 90):
+            own = chr(ord("A") + len(rows)) + letters(period - 1)
+            rows.append((len(rows), letters(around) + (own * 400)[:length] + letters(3 * around)))
+    result = got(ri.remove_repeats(spark.createDataFrame(rows, SCHEMA), with_text=True))
+    assert result == expected(rows)
+    assert sum(r[2] for r in result) > 0
+
+
 def naive_statistics(parts):
     whole = [(i, a) for i, t in enumerate(parts) for a in range(len(t) + 1)]
 
