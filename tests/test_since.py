@@ -41,3 +41,9 @@ def test_posts_since_the_first_date(spark, sf_dir):
     assert sorted(asked) == [1, 2, 3]
     assert found.count() == 7
     assert rows(found) == reference(sf_dir, "posts_since")
+
+
+def test_histogram_since_the_first_date(spark, sf_dir):
+    found = contract.queries()["response_histogram"](spark, sf_dir).select("bin", "bin_start", "bin_end", "n")
+    assert sum(row.n for row in found.collect()) == 3
+    assert rows(found) == reference(sf_dir, "response_histogram")
