@@ -10,6 +10,10 @@ from answerclock.schemas import POST_COLUMNS
 from answerclock.sources.readers import ROW_TAG
 
 ROOT_TAG = "posts"  # fixed value: the element around all posts in the XML dump
+# Posts as text repeat their attribute names and shrink to a tenth. A compressed text file is
+# read by one task, so it holds no more than so many posts.
+COMPRESSION = {"json": "gzip", "xml": "gzip", "csv": "gzip", "parquet": "zstd"}
+FILE_POSTS = 500_000
 
 
 def _parts(df: DataFrame, files: int | None) -> DataFrame:
@@ -43,27 +47,42 @@ def _dated(raw: DataFrame) -> DataFrame:
     return raw.withColumns({c: F.replace(F.col(c).cast("string"), F.lit(" "), F.lit("T")) for c in times})
 
 
-def write_post_lines(posts: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_post_lines(
+    posts: DataFrame, path: str, mode: str = "overwrite", compression: str = "gzip"
+) -> None:
     """Posts as XML elements, one on each line, readable with ``read_post_lines``."""
     element = F.to_xml(F.struct("*"), {"rowTag": ROW_TAG, "attributePrefix": "_", "indent": ""})
     # Line ends inside an attribute are written as references, so that a post stays on its line.
     line = F.trim(element)
     for sign, reference in (("\n", "&#10;"), ("\r", "&#13;")):
         line = F.replace(line, F.lit(sign), F.lit(reference))
-    _dated(_raw(posts)).select(line.alias("value")).write.mode(mode).text(path)
+    writer = _dated(_raw(posts)).select(line.alias("value")).write.mode(mode)
+    writer = writer.option("maxRecordsPerFile", FILE_POSTS)
+    writer.option("compression", compression).text(path)
 
 
 def write_posts(
-    posts: DataFrame, path: str, fmt: str = "json", mode: str = "overwrite"
+    posts: DataFrame,
+    path: str,
+    fmt: str = "json",
+    mode: str = "overwrite",
+    compression: str | None = None,
 ) -> None:
-    """Posts under the attribute names of the dump, readable with ``read_posts``."""
+    """Posts under the attribute names of the dump, readable with ``read_posts``.
+
+    ``compression`` is Spark's name of a codec (``none`` for plain files); gzip for text and
+    zstd for Parquet if it is not given.
+    """
     raw = _raw(posts)
     writer = (_dated(raw) if fmt == "xml" else raw).write.format(fmt).mode(mode)
     if fmt == "xml":
         writer = writer.option("rowTag", ROW_TAG).option("rootTag", ROOT_TAG)
         writer = writer.option("attributePrefix", "_")
-    if fmt == "json":
-        writer = writer.option("compression", "gzip")
+    compression = compression or COMPRESSION.get(fmt)
+    if compression:
+        writer = writer.option("compression", compression)
+    if fmt != "parquet":
+        writer = writer.option("maxRecordsPerFile", FILE_POSTS)
     if fmt == "csv":
         writer = writer.option("header", True).option("escape", '"')
     writer.save(path)

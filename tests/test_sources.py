@@ -147,3 +147,27 @@ def test_response_times_as_json(spark, tmp_path):
     path = str(tmp_path / "times")
     writers.write_json(df, path)
     assert rows(readers.read_json(spark, path, schemas.RESPONSE_TIMES)) == rows(df)
+
+
+@pytest.mark.parametrize("fmt", ["lines", "xml", "csv", "json"])
+def test_text_files_are_compressed_and_bounded(spark, make_posts, tmp_path, monkeypatch, fmt):
+    monkeypatch.setattr(writers, "FILE_POSTS", 10, raising=False)
+    post = {"creation_date": "2018-01-16T12:00:00", "title": "Why?", "body": "x" + " a\nb" * 50}
+    posts = make_posts(*({"id": i, **post} for i in range(25))).coalesce(1)
+    path = tmp_path / fmt
+    if fmt == "lines":
+        writers.write_post_lines(posts, str(path))
+        back = readers.read_post_lines(spark, str(path))
+    else:
+        writers.write_posts(posts, str(path), fmt)
+        back = readers.read_posts(spark, str(path), fmt)
+    files = list(path.glob("part-*.gz"))
+    assert len(files) == 3
+    assert sum(f.stat().st_size for f in files) < 25 * 200
+    assert rows(back) == rows(posts)
+
+
+def test_plain_files_if_asked_for(spark, posts, tmp_path):
+    writers.write_posts(posts, str(tmp_path / "xml"), "xml", compression="none")
+    writers.write_post_lines(posts, str(tmp_path / "lines"), compression="none")
+    assert all(b"Why?" in b"".join(f.read_bytes() for f in (tmp_path / d).glob("part-*")) for d in ("xml", "lines"))
