@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from answerclock.operators import ml, tags
-from answerclock.operators.storage import delete_at_exit, shared_folder
+from answerclock.operators.storage import delete_at_exit, shared_folder, stored
 from answerclock.plans import queries as base
 from answerclock.plans.stand_in import posts
 from answerclock.schemas import (
@@ -57,8 +57,8 @@ def posts_xml_lines(spark, sf_dir):
 
 
 def posts_by_format(spark, sf_dir):
-    """The same dump from each source, told apart by the format."""
-    source, found = full_posts(spark, sf_dir), None
+    """The same dump from each source, told apart by the format. The posts are made once."""
+    source, found = stored(full_posts(spark, sf_dir)), None
     for fmt in ("json", "xml", "csv", "parquet"):
         path = _folder(spark)
         writers.write_posts(source, path, fmt)

@@ -171,3 +171,24 @@ def test_plain_files_if_asked_for(spark, posts, tmp_path):
     writers.write_posts(posts, str(tmp_path / "xml"), "xml", compression="none")
     writers.write_post_lines(posts, str(tmp_path / "lines"), compression="none")
     assert all(b"Why?" in b"".join(f.read_bytes() for f in (tmp_path / d).glob("part-*")) for d in ("xml", "lines"))
+
+
+def test_posts_by_format_makes_the_posts_once(spark, posts, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from answerclock.plans import store_queries
+
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(key):
+        made.add(1)
+        return key
+
+    counting = posts.withColumn("id", counted.asNondeterministic()("id"))
+    monkeypatch.setattr(store_queries, "full_posts", lambda spark, sf_dir: counting)
+    found = store_queries.posts_by_format(spark, "unused")
+    assert sorted((r.format, r.id) for r in found.collect()) == [
+        (fmt, key) for fmt in ("csv", "json", "parquet", "xml") for key in (1, 2)
+    ]
+    assert made.value == 2
