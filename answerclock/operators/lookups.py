@@ -64,6 +64,7 @@ def join_lookup(
     how: str = "inner",
     broadcast_limit: int = BROADCAST_LIMIT,
     hot_share: float = HOT_SHARE,
+    rows_stored: bool = False,
 ) -> DataFrame:
     """Join ``rows`` with ``lookup`` (one row per ``key``), whatever the size or skew.
 
@@ -72,14 +73,15 @@ def join_lookup(
     one is split: the keys with more than ``hot_share`` of all frequencies (no more
     than ``1 / hot_share`` of them can exist) are broadcast and leave the shuffle, the
     other keys meet their rows in a shuffle join. ``rows`` is checkpointed first, as
-    both parts read it. ``how`` is ``inner``, ``left`` or ``left_semi``.
+    both parts read it, unless ``rows_stored`` says that they are stored already. ``how``
+    is ``inner``, ``left`` or ``left_semi``.
     """
     lookup = checkpointed(lookup)
     if table_size(lookup)[1] <= broadcast_limit:
         return rows.join(F.broadcast(lookup), key, how)
     total = lookup.agg(F.sum(frequency)).first()[0]
     hot = lookup.filter(F.col(frequency) > hot_share * (total or 0))
-    rows = checkpointed(rows)
+    rows = rows if rows_stored else checkpointed(rows)
     hot_keys = F.broadcast(hot.select(key))
     hot_joined = rows.join(F.broadcast(hot), key, "inner" if how == "left" else how)
     cold_rows = rows.join(hot_keys, key, "left_anti")

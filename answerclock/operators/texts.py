@@ -94,11 +94,14 @@ def tfidf(
 ) -> DataFrame:
     """(key, term, n, doc_freq, weight) with weight = n * ln((docs + 1) / (doc_freq + 1)).
 
-    Terms in fewer than ``min_df`` documents weigh 0.
+    Terms in fewer than ``min_df`` documents weigh 0. The counts are stored: texts are cut
+    into tokens once, not for the frequencies and again for the weights.
     """
-    counts = term_counts(docs, key, tokens_col)
+    counts = stored(term_counts(docs, key, tokens_col))
     frequencies = vocabulary(counts, min_df=1).select("term", "doc_freq")
-    rows = join_lookup(counts, frequencies, "term", "doc_freq", broadcast_limit=broadcast_limit)
+    rows = join_lookup(
+        counts, frequencies, "term", "doc_freq", broadcast_limit=broadcast_limit, rows_stored=True
+    )
     total = docs.agg(F.count(F.lit(1))).scalar()
     weight = F.col("n") * F.log((total + 1) / (F.col("doc_freq") + 1))
     return rows.select(
@@ -129,7 +132,7 @@ def count_vectors(
     size = places.count()
     found = join_lookup(
         counts, places.select("term", "doc_freq", "place"), "term", "doc_freq",
-        broadcast_limit=broadcast_limit,
+        broadcast_limit=broadcast_limit, rows_stored=True,
     )
     cell = F.struct(F.col("place").cast("int").alias("place"), F.col("n").cast("double").alias("n"))
     cells = found.groupBy(key).agg(F.array_sort(F.collect_list(cell)).alias("cells"))

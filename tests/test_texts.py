@@ -171,3 +171,18 @@ def test_stems_work_where_the_package_is_missing(tmp_path):
         check=True,
     )
     assert done.stdout.strip() == "[['run', 'cat'], None, []] False"
+
+
+@pytest.mark.parametrize("limit", [10**9, 0])
+def test_tfidf_cuts_each_text_once(spark, documents, limit):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        read.add(1)
+        return text
+
+    seen = documents.withColumn("body", counted.asNondeterministic()("body"))
+    arrays = texts.token_arrays(seen, "id", "body", stemmed=False)
+    assert rows(texts.tfidf(arrays, "id", broadcast_limit=limit).select("id")).count((2,)) == 3
+    assert read.value == len(TEXTS)
