@@ -6,11 +6,12 @@ out inside that row, so only terms (never whole texts) are shuffled.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.ml.feature import IDF, HashingTF
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +29,8 @@ from answerclock.operators.storage import numbered, stored
 COUNT_MIN_DF = 2
 IDF_MIN_DF = 5
 HASH_PLACES = 1 << 18
+# What a Python worker is given at once; it holds a few times as much.
+BATCH_BYTES = 4 * 1024 * 1024
 
 
 def sentences(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -167,6 +170,18 @@ def hashed_counts(
     return hasher.transform(docs).drop(tokens_col)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: int = BATCH_BYTES) -> Iterator[None]:
+    """Actions inside give Python batches of about ``size`` bytes, however long the texts are."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def weigh(hashed: DataFrame, min_df: int = IDF_MIN_DF) -> DataFrame:
     """Hashed counts to a ``features`` vector of TF-IDF weights.
 
@@ -204,6 +219,7 @@ def doc_vectors(
     Texts become hashed counts before they meet their labels, so the join carries
     counts and not texts. Where the labelled keys fit a broadcast, texts without a label
     are left out before any work on them. Weights are fitted on the labelled documents.
+    Stems are worked out here, in small batches, and their counts checkpointed.
     """
     named = checkpointed(labels.select(key, label))
     if table_size(named)[1] <= BROADCAST_LIMIT:
@@ -211,4 +227,5 @@ def doc_vectors(
     plain = docs.select(key, strip_html(text).alias("plain"))
     arrays = token_arrays(plain, key, "plain", stop_words, stemmed)
     hashed = hashed_counts(arrays, places=places)
-    return weigh(hashed.join(named, key), min_df).select(key, "features", label)
+    with small_batches(docs.sparkSession):
+        return weigh(hashed.join(named, key), min_df).select(key, "features", label)

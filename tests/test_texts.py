@@ -6,6 +6,7 @@ import subprocess
 import sys
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.ml.feature import IDF, CountVectorizer
 from pyspark.sql import functions as F
@@ -186,3 +187,27 @@ def test_tfidf_cuts_each_text_once(spark, documents, limit):
     arrays = texts.token_arrays(seen, "id", "body", stemmed=False)
     assert rows(texts.tfidf(arrays, "id", broadcast_limit=limit).select("id")).count((2,)) == 3
     assert read.value == len(TEXTS)
+
+
+def test_doc_vectors_give_python_small_batches(spark, tmp_path, monkeypatch):
+    from answerclock.functions import words
+
+    log, stem = str(tmp_path / "sizes"), words._stem_lists
+
+    def noted(lists: pa.Array) -> pa.Array:
+        with open(log, "a") as out:
+            out.write(f"{len(lists)} {lists.nbytes}\n")
+        return stem(lists)
+
+    monkeypatch.setattr(words, "_stem_lists", noted)
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    text = F.repeat(F.lit("running dogs "), 500)
+    documents = spark.range(0, 3000, numPartitions=1).select("id", text.alias("body"))
+    labels = spark.range(3000).select("id", F.lit(1).alias("label"))
+    out = texts.doc_vectors(documents, labels, min_df=1)
+    assert out.count() == 3000
+    assert len(out.first().features.indices) == 2
+    batches = [tuple(map(int, line.split())) for line in open(log)]
+    assert sum(n for n, _ in batches) == 3000
+    assert max(size for _, size in batches) <= 2 * texts.BATCH_BYTES
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
