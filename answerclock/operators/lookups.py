@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 
 BROADCAST_LIMIT = 64 * 1024 * 1024
 HOT_SHARE = 0.001
+# Least part of a large table that must fit a broadcast for more keys than the hot ones to go there.
+LEAST_PART = 0.01
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -56,6 +58,21 @@ def table_size(df: DataFrame) -> tuple[int, int]:
     return measured[0], measured[1]
 
 
+def _frequent(lookup: DataFrame, frequency: str, size: int, limit: int, hot_share: float) -> DataFrame:
+    """The hot keys of ``lookup``, or the most frequent ones that fit ``limit`` bytes, if more."""
+    count = F.col(frequency)
+    total = lookup.agg(F.sum(frequency)).first()[0]
+    hot = lookup.filter(count > hot_share * (total or 0))
+    part = limit / size
+    if part < LEAST_PART:
+        return hot
+    least = lookup.approxQuantile(frequency, [1 - part], part / 10)
+    if not least or least[0] >= hot_share * (total or 0):
+        return hot
+    frequent = lookup.filter(count > least[0])
+    return frequent if table_size(frequent)[1] <= 2 * limit else hot
+
+
 def join_lookup(
     rows: DataFrame,
     lookup: DataFrame,
@@ -71,16 +88,17 @@ def join_lookup(
     ``frequency`` is a column of ``lookup`` that grows with the number of rows of
     its key. Up to ``broadcast_limit`` bytes the whole table is broadcast. A larger
     one is split: the keys with more than ``hot_share`` of all frequencies (no more
-    than ``1 / hot_share`` of them can exist) are broadcast and leave the shuffle, the
+    than ``1 / hot_share`` of them can exist), or the most frequent ones that fit half of
+    ``broadcast_limit`` (both parts broadcast them), are broadcast and leave the shuffle, the
     other keys meet their rows in a shuffle join. ``rows`` is checkpointed first, as
     both parts read it, unless ``rows_stored`` says that they are stored already. ``how``
     is ``inner``, ``left`` or ``left_semi``.
     """
     lookup = checkpointed(lookup)
-    if table_size(lookup)[1] <= broadcast_limit:
+    size = table_size(lookup)[1]
+    if size <= broadcast_limit:
         return rows.join(F.broadcast(lookup), key, how)
-    total = lookup.agg(F.sum(frequency)).first()[0]
-    hot = lookup.filter(F.col(frequency) > hot_share * (total or 0))
+    hot = _frequent(lookup, frequency, size, broadcast_limit // 2, hot_share)
     rows = rows if rows_stored else checkpointed(rows)
     hot_keys = F.broadcast(hot.select(key))
     hot_joined = rows.join(F.broadcast(hot), key, "inner" if how == "left" else how)

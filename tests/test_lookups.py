@@ -54,6 +54,24 @@ def test_the_hot_key_stays_out_of_the_shuffle(spark, settings, hot_rows, lookup)
     assert len(broadcast) == 6 and not shuffled & broadcast
 
 
+def test_frequent_keys_that_fit_stay_out_of_the_shuffle(spark):
+    """Just over the limit, nearly all rows have keys of the half that is broadcast."""
+    held = spark.range(400).select(
+        F.concat(F.lit("k"), F.col("id").cast("string")).alias("key"),
+        F.when(F.col("id") < 100, 90).otherwise(1).alias("n"),
+    )
+    each = F.explode(F.sequence(F.lit(1), F.col("n"))).alias("place")
+    found = held.select("key", each)
+    limit = lookups.table_size(held)[1] - 1
+    joined = lookups.join_lookup(found, held, "key", "n", broadcast_limit=limit, hot_share=0.5)
+    assert rows(joined) == rows(found.join(held, "key"))
+    hot = lookups._frequent(held, "n", limit + 1, limit // 2, 0.5)
+    assert hot.count() == 100
+    assert lookups._frequent(held, "n", limit + 1, 1, 0.005).count() == 100
+    assert lookups._frequent(held, "n", limit + 1, 1, 0.5).count() == 0
+    assert lookups._frequent(held.limit(0), "n", 10, 5, 0.5).count() == 0
+
+
 def test_the_large_branch_reads_its_rows_once_and_sorts_nothing(spark, hot_rows, lookup):
     plan = plan_of(lookups.join_lookup(hot_rows, lookup, "key", "n", broadcast_limit=0))
     assert "TakeOrderedAndProject" not in plan
