@@ -51,7 +51,11 @@ def read_posts(
     if fmt == "csv":
         reader = reader.option("header", True).option("multiLine", True).option("escape", '"')
     raw = reader.load(path if isinstance(path, str) else list(path))
-    return spread(raw.select(names))
+    posts = raw.select(names)
+    # Files that are read whole get packed into a few tasks less than there are cores. They are
+    # parsed by then, so moving all texts to a few more tasks would gain nothing.
+    enough = len(raw.inputFiles()) >= spark.sparkContext.defaultParallelism
+    return posts if enough else spread(posts)
 
 
 def read_features(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

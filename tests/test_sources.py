@@ -81,6 +81,21 @@ def test_one_gzip_file_is_dealt_out(spark, tmp_path):
     assert readers.spread(plenty) is plenty
 
 
+def test_packed_files_are_not_dealt_out(spark, make_posts, tmp_path, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(writers, "FILE_POSTS", 2)
+    post = {"post_type_id": 1, "creation_date": "2018-01-16T12:00:00", "body": "x"}
+    posts = make_posts(*({"id": i, **post} for i in range(3 * cores))).coalesce(1)
+    for fmt in ("xml", "json", "csv"):
+        path = str(tmp_path / fmt)
+        writers.write_posts(posts, path, fmt)
+        back = readers.read_posts(spark, path, fmt)
+        assert len(back.inputFiles()) == 3 * cores // 2
+        assert "Exchange" not in plan_of(back)
+        assert cores // 2 < back.rdd.getNumPartitions() < cores
+        assert rows(back) == rows(posts)
+
+
 def test_several_paths(spark, posts, tmp_path):
     for name in ("x", "y"):
         writers.write_posts(posts, str(tmp_path / name))
